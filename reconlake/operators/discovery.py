@@ -88,14 +88,15 @@ def listed_date_column(tables: DataFrame, column: str = "date_columns") -> DataF
 
 
 def typed_columns(
-    sheet: DataFrame, schema_name: str, table_name: str, types: tuple[str, ...] = ("timestamp", "date")
+    sheet: DataFrame, tables: DataFrame, types: tuple[str, ...] = ("timestamp", "date")
 ) -> DataFrame:
-    """Columns of one table that are declared with one of the types; names match without case."""
-    return sheet.filter(
-        F.col("data_type").isin(*types)
-        & same_text(F.col("table_name"), F.lit(table_name))
-        & same_text(F.col("schema_name"), F.lit(schema_name))
-    )
+    """Columns of the listed tables that are declared with one of the types.
+
+    Schema and table names match without case.
+    """
+    s, t = sheet.alias("s"), tables.select(*TABLE).alias("t")
+    same = [same_text(F.col(f"s.{c}"), F.col(f"t.{c}")) for c in TABLE]
+    return s.filter(F.col("s.data_type").isin(*types)).join(t, same, "left_semi")
 
 
 def inspection_log(

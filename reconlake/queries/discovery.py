@@ -84,11 +84,13 @@ def listed_date_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "typed_columns",
-    f"""{_SHEET} SELECT * FROM sheet WHERE data_type IN ('date', 'timestamp')
-AND lower(schema_name) = 's_a' AND lower(table_name) = 't_1'""",
+    f"""{fx.ctes(sheet=fx.SHEET, wanted=fx.WANTED)}
+SELECT * FROM sheet WHERE data_type IN ('date', 'timestamp') AND EXISTS (SELECT 1 FROM wanted w
+WHERE lower(w.schema_name) = lower(sheet.schema_name)
+  AND lower(w.table_name) = lower(sheet.table_name))""",
 )
 def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.typed_columns(_sheet(spark, sf_dir), "S_a", "T_1")
+    return D.typed_columns(_sheet(spark, sf_dir), fx.WANTED.frame(spark, sf_dir))
 
 
 _BOTH = fx.ctes(sheet=fx.SHEET, other=fx.OTHER_SHEET) + """,

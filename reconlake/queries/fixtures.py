@@ -8,6 +8,7 @@ defects (lost, changed, repeated rows) into a full copy; they do not thin out th
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +39,9 @@ KEYS = {
 DATE_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. The lazy frame is kept, so its schema is read from the files once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -156,6 +159,15 @@ OTHER_SHEET = Derived(
     "l_partkey % 50 <> 7",
 )
 
+# Tables to look up in the sheet, written in capitals.
+WANTED = Derived(
+    "orders",
+    {
+        "schema_name": "CASE o_orderstatus WHEN 'P' THEN 'S_A' WHEN 'O' THEN 'S_N' ELSE 'S_R' END",
+        "table_name": "'T_' || o_orderkey",
+    },
+)
+
 # Audit events: one table per user, the kind of event stands for a status.
 AUDIT = Derived(
     "events",
