@@ -74,6 +74,11 @@ def digits_of(c: Column) -> Column:
     return F.length(F.regexp_replace(c.cast("string"), "^-", ""))
 
 
+def whole_quotient(a: Column, b: Column) -> Column:
+    """Integer division, rounding toward zero."""
+    return F.call_function("div", a, b)
+
+
 def from_epoch_seconds(c: Column) -> Column:
     return F.timestamp_seconds(c.cast("bigint"))
 
@@ -82,7 +87,7 @@ def from_epoch_millis(c: Column, keep_fraction: bool = False) -> Column:
     """Milliseconds since 1970; whole seconds unless the fraction is asked for."""
     if keep_fraction:
         return F.timestamp_millis(c.cast("bigint"))
-    return F.timestamp_seconds(F.floor(c / F.lit(1000)))
+    return F.timestamp_seconds(whole_quotient(c, F.lit(1000)))
 
 
 def from_yyyymmdd(c: Column) -> Column:
@@ -132,12 +137,24 @@ def to_utc(df: DataFrame, zone: str = "Asia/Kolkata") -> DataFrame:
     return df.select(*out)
 
 
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+
+
 def utc_clock(instant: Column) -> Column:
     """Wall clock in UTC of an instant, whatever the session time zone."""
-    micros = F.unix_micros(instant)
-    return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds, to the microsecond, between two zone-less timestamps.
+
+    ``timestamp_diff`` would convert both through the session time zone, and be an hour off
+    across a clock change.
+    """
+    return (end - start).cast("interval second").cast("decimal(18,6)")
 
 
 def clock_micros(clock: Column) -> Column:
     """Microseconds of a zone-less timestamp since 1970-01-01, whatever the session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), clock)
+    return (seconds_between(_epoch(), clock) * 1_000_000).cast("bigint")

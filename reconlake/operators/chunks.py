@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reconlake.functions import status
+from reconlake.functions import dates, status
 from reconlake.functions.columns import col
 
 CHUNK = "chunk_id"
 NO_TIME = -1  # chunk of the rows whose timestamp is NULL
-_MICROS_PER_DAY = 86_400_000_000
+_SECONDS_PER_DAY = 86_400
 _PART, _POS = "__part", "__pos"
 
 
@@ -65,7 +65,7 @@ def numbered_chunks(staged: DataFrame, chunk_size: int) -> DataFrame:
     # the broadcast side has one record per task of the staged write
     return (
         staged.join(F.broadcast(starts), _PART)
-        .withColumn(CHUNK, F.floor(number / F.lit(chunk_size)).cast("bigint"))
+        .withColumn(CHUNK, dates.whole_quotient(number, F.lit(chunk_size)))
         .drop(_PART, _POS, "start")
     )
 
@@ -77,8 +77,8 @@ def time_bounds(df: DataFrame, ts: str) -> DataFrame:
 
 
 def _chunk_of(first: Column, clock: Column, chunk_days: int) -> Column:
-    elapsed = F.timestamp_diff("MICROSECOND", first, clock)
-    return F.floor(elapsed / F.lit(chunk_days * _MICROS_PER_DAY)).cast("bigint")
+    elapsed = dates.seconds_between(first, clock)
+    return dates.whole_quotient(elapsed, F.lit(chunk_days * _SECONDS_PER_DAY))
 
 
 def time_plan(bounds: DataFrame, chunk_days: int = 30) -> DataFrame:

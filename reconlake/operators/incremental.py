@@ -11,7 +11,7 @@ from reconlake.functions import dates
 from reconlake.functions.columns import align_to, col
 from reconlake.functions.hashing import any_null, equality_key
 
-_KEY, _COPIES, _PIECE = "__row_key", "__copies", "__piece"
+_KEY, _KNOWN, _COPIES, _PIECE = "__row_key", "__known", "__copies", "__piece"
 _COPIES_PER_PIECE = 1000
 
 
@@ -29,7 +29,7 @@ def incremental_rows(
     matches, so it comes back on every run. ``dedupe`` returns each row once.
 
     Only a 32-byte key of the existing rows is shuffled, not the rows. Both sides are reduced
-    to distinct keys before the anti-join, so no key is hot in it; the copies of a repeated
+    to distinct keys before they are joined, so no key is hot in it; the copies of a repeated
     row are restored afterwards in bounded pieces that spread over the tasks.
     """
     existing = align_to(existing, new.columns)
@@ -49,8 +49,9 @@ def incremental_rows(
         .groupBy(_KEY, *[col(c) for c in names])
         .agg(F.count(F.lit(1)).alias(_COPIES))
     )
-    known = existing.select(existing_key.alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
-    missing = distinct_new.join(known, _KEY, "left_anti")
+    known = existing.select(existing_key.alias(_KEY)).distinct().withColumn(_KNOWN, F.lit(True))
+    # not an anti-join: the optimizer would move that below the grouping, back onto all copies
+    missing = distinct_new.join(known, _KEY, "left").filter(F.col(_KNOWN).isNull())
     columns = [col(c) for c in names]
     if dedupe:
         return missing.select(*columns)
@@ -59,7 +60,10 @@ def incremental_rows(
         _KEY,
         _COPIES,
         F.explode(
-            F.sequence(F.lit(0), F.floor((F.col(_COPIES) - 1) / _COPIES_PER_PIECE).cast("bigint"))
+            F.sequence(
+                F.lit(0).cast("bigint"),
+                dates.whole_quotient(F.col(_COPIES) - 1, F.lit(_COPIES_PER_PIECE)),
+            )
         ).alias(_PIECE),
     ).repartition(_KEY, _PIECE)
     in_piece = F.least(

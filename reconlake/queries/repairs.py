@@ -12,7 +12,7 @@ from reconlake.queries import query
 
 
 def _seconds(micros: Column) -> Column:
-    return F.floor(micros / F.lit(1_000_000))
+    return dates.whole_quotient(micros, F.lit(1_000_000))
 
 
 def encoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def encoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         "event_id",
         _seconds(micros).alias("epoch_s"),
-        F.floor(micros / F.lit(1000)).alias("epoch_ms"),
+        dates.whole_quotient(micros, F.lit(1000)).alias("epoch_ms"),
         F.date_format(day, "yyyyMMdd").cast("int").alias("ymd"),
         F.date_diff(day, F.lit("1970-01-01").cast("date")).alias("epoch_day"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"),

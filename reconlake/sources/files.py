@@ -14,15 +14,23 @@ COPY_LIST = "table_name string"
 DATE_COLUMN_LIST = "schema_name string, table_name string, date_columns string"
 
 
-def parquet(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
+def parquet(
+    spark: SparkSession,
+    *paths: str,
+    tolerant: bool = False,
+    schema: str | T.StructType | None = None,
+) -> DataFrame:
     """One or many Parquet folders as one relation.
 
     ``tolerant`` skips files that are corrupt or vanish, which loses their rows silently; the
-    count checks after a load are what finds that out.
+    count checks after a load are what finds that out. Give it a schema, since the file whose
+    footer would be asked for one may be a corrupt one.
     """
     reader = spark.read
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.parquet(*paths)
 
 
