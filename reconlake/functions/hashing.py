@@ -14,30 +14,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reconlake.functions.columns import col
+from reconlake.functions.columns import quoted
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 _FLOATING = (T.DoubleType, T.FloatType)
 
 
-def value_text(field: T.StructField) -> Column:
-    """One-to-one text form of a value of the given type."""
-    c = col(field.name)
-    kind = field.dataType
+def _value_text(field: T.StructField) -> str:
+    """SQL of a one-to-one text form of a value."""
+    c, kind = quoted(field.name), field.dataType
     if isinstance(kind, _NESTED):
-        return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}))
+        # NULL itself stays NULL, NULLs inside are written out
+        json = f"to_json(struct({c} AS v), map('ignoreNullFields', 'false'))"
+        return f"IF({c} IS NULL, NULL, {json})"
     if isinstance(kind, T.BinaryType):
-        return F.hex(c)
+        return f"hex({c})"
     if isinstance(kind, T.TimestampType):
         # an instant: its printed form repeats when clocks go back
-        return F.unix_micros(c).cast("string")
-    return c.cast("string")
+        return f"CAST(unix_micros({c}) AS string)"
+    return f"CAST({c} AS string)"
 
 
-def _length_prefixed(text: Column) -> Column:
-    return F.when(text.isNull(), F.lit("N")).otherwise(
-        F.concat(F.length(text).cast("string"), F.lit(":"), text)
-    )
+def _length_prefixed(text: str) -> str:
+    # concat is NULL for a NULL text. Both uses of the text are always evaluated, which lets
+    # the generated code compute it once; inside a CASE branch it would be computed each time.
+    return f"coalesce(concat(CAST(length({text}) AS string), ':', {text}), 'N')"
+
+
+def _digest(parts: Sequence[str], separator: str) -> str:
+    escaped = separator.replace("\\", "\\\\").replace("'", "\\'")
+    return f"sha2(concat_ws('{escaped}', {', '.join(parts)}), 256)"
 
 
 def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]:
@@ -47,19 +53,29 @@ def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]
     return [by_name[c.lower()] for c in columns]
 
 
+def _row_hash(
+    df: DataFrame, columns: Sequence[str] | None, mode: str, separator: str
+) -> str:
+    fields = _fields(df, columns)
+    if mode == "safe":
+        return _digest([_length_prefixed(_value_text(f)) for f in fields], "|")
+    if mode == "compat":
+        return _digest([f"CAST({quoted(f.name)} AS string)" for f in fields], separator)
+    raise ValueError(f"unknown hash mode {mode!r}")
+
+
 def row_hash(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     mode: str = "safe",
     separator: str = "||",
 ) -> Column:
-    """SHA-256 of a row as 64 hex digits."""
-    fields = _fields(df, columns)
-    if mode == "safe":
-        return F.sha2(F.concat_ws("|", *[_length_prefixed(value_text(f)) for f in fields]), 256)
-    if mode == "compat":
-        return F.sha2(F.concat_ws(separator, *[col(f.name).cast("string") for f in fields]), 256)
-    raise ValueError(f"unknown hash mode {mode!r}")
+    """SHA-256 of a row as 64 hex digits.
+
+    The expression is handed to Spark as SQL text: a wide table would need thousands of calls
+    into the JVM to build it piece by piece.
+    """
+    return F.expr(_row_hash(df, columns, mode, separator))
 
 
 def hash_key(
@@ -69,7 +85,7 @@ def hash_key(
     separator: str = "||",
 ) -> Column:
     """The same fingerprint as 32 bytes: half of what a shuffle on the hex text would move."""
-    return F.unhex(row_hash(df, columns, mode, separator))
+    return F.expr(f"unhex({_row_hash(df, columns, mode, separator)})")
 
 
 def equality_key(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
@@ -79,17 +95,15 @@ def equality_key(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """
     parts = []
     for f in _fields(df, columns):
+        text = _value_text(f)
         if isinstance(f.dataType, _FLOATING):
-            c = col(f.name)
-            parts.append(_length_prefixed(F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))))
-        else:
-            parts.append(_length_prefixed(value_text(f)))
-    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+            text = f"IF({quoted(f.name)} = 0, '0', {text})"
+        parts.append(_length_prefixed(text))
+    # never NULL, so that no join on it adds a null filter that would hash every row again
+    return F.expr(f"coalesce(unhex({_digest(parts, '|')}), X'')")
 
 
 def any_null(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """True when at least one of the columns is NULL."""
-    out = F.lit(False)
-    for f in _fields(df, columns):
-        out = out | col(f.name).isNull()
-    return out
+    tests = [f"{quoted(f.name)} IS NULL" for f in _fields(df, columns)]
+    return F.expr(" OR ".join(tests))

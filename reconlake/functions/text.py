@@ -23,9 +23,9 @@ STRIPPED = (
 
 
 def table_pattern(keywords: str, allow_exists: bool = False) -> str:
-    """Pattern whose first two groups are schema and table."""
+    """Pattern whose first group is ``schema.table``."""
     exists = rf"(?:IF{BLANK}+(?:NOT{BLANK}+)?EXISTS{BLANK}+)?" if allow_exists else ""
-    return rf"(?i)(?:{keywords}){BLANK}+{exists}({WORD}+)\.({WORD}+)"
+    return rf"(?i)(?:{keywords}){BLANK}+{exists}({WORD}+\.{WORD}+)"
 
 
 SOURCE_PATTERN = table_pattern(SOURCE_KEYWORDS)
@@ -34,9 +34,7 @@ TARGET_PATTERN = table_pattern(TARGET_KEYWORDS)
 
 def table_references(text: Column, pattern: str) -> Column:
     """Sorted distinct ``schema.table`` names found by the pattern."""
-    schemas = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    tables = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-    names = F.zip_with(schemas, tables, lambda s, t: F.concat(s, F.lit("."), t))
+    names = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     return F.array_sort(F.array_distinct(names))
 
 

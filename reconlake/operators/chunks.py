@@ -71,9 +71,11 @@ def numbered_chunks(staged: DataFrame, chunk_size: int) -> DataFrame:
 
 
 def time_bounds(df: DataFrame, ts: str) -> DataFrame:
-    """First and last timestamp as wall clock, one row; NULLs when there is none."""
+    """First and last timestamp as wall clock, and all rows: one row, NULLs when there is none."""
     clock = col(ts).cast("timestamp_ntz")
-    return df.agg(F.min(clock).alias("min_ts"), F.max(clock).alias("max_ts"))
+    return df.agg(
+        F.min(clock).alias("min_ts"), F.max(clock).alias("max_ts"), F.count(F.lit(1)).alias("rows")
+    )
 
 
 def _chunk_of(first: Column, clock: Column, chunk_days: int) -> Column:

@@ -26,7 +26,8 @@ def incremental_rows(
     """Rows of ``new`` after the cutoff with no equal row in ``existing``, copies included.
 
     ``null_safe=False`` reproduces plain ``=`` over all columns: a row with any NULL never
-    matches, so it comes back on every run. ``dedupe`` returns each row once.
+    matches, so it comes back on every run. ``dedupe`` returns each row once. As in SQL, -0.0
+    equals 0.0 and comes back as 0.0.
 
     Only a 32-byte key of the existing rows is shuffled, not the rows. Both sides are reduced
     to distinct keys before they are joined, so no key is hot in it; the copies of a repeated
@@ -39,17 +40,17 @@ def incremental_rows(
 
     names = new.columns
     key = equality_key(new)
-    existing_key = equality_key(existing)
     if not null_safe:
-        key = F.when(~any_null(new), key)
-        existing_key = F.when(~any_null(existing), existing_key)
+        # rows with a NULL get a key that no existing row has
+        key = F.when(any_null(new), F.lit(b"")).otherwise(key)
+        existing = existing.filter(~any_null(existing))
 
     distinct_new = (
         new.withColumn(_KEY, key)
         .groupBy(_KEY, *[col(c) for c in names])
         .agg(F.count(F.lit(1)).alias(_COPIES))
     )
-    known = existing.select(existing_key.alias(_KEY)).distinct().withColumn(_KNOWN, F.lit(True))
+    known = existing.select(equality_key(existing).alias(_KEY)).distinct().withColumn(_KNOWN, F.lit(True))
     # not an anti-join: the optimizer would move that below the grouping, back onto all copies
     missing = distinct_new.join(known, _KEY, "left").filter(F.col(_KNOWN).isNull())
     columns = [col(c) for c in names]

@@ -142,9 +142,58 @@ def symmetric_difference(
     )
 
 
-def differing_rows(source: DataFrame, target: DataFrame, mode: str = "safe") -> DataFrame:
-    """The fingerprints whose number of copies differs, with both counts."""
-    profile = hash_profile(source, target, mode)
+def _bucketed(df: DataFrame, mode: str, buckets: int) -> DataFrame:
+    keyed = df.select(_fingerprint(df, mode, "||"))
+    return keyed.withColumn("bucket", F.pmod(F.xxhash64("row_hash"), F.lit(buckets)))
+
+
+def differing_buckets(
+    source: DataFrame, target: DataFrame, mode: str = "safe", buckets: int = 65536
+) -> DataFrame:
+    """Buckets of fingerprints in which the two sides do not hold the same rows.
+
+    A bucket is summed up by its row count and two sums of independent 64-bit digests, so one
+    record per task and bucket is shuffled instead of one per row.
+    """
+
+    def digest(seed: int) -> Column:
+        return F.xxhash64("row_hash", F.lit(seed)).cast("decimal(20,0)")
+
+    target = align_to(target, source.columns)
+    sides = [
+        _bucketed(df, mode, buckets).select(
+            "bucket",
+            F.lit(sign).alias("n"),
+            (digest(1) * sign).alias("a"),
+            (digest(2) * sign).alias("b"),
+        )
+        for df, sign in ((source, 1), (target, -1))
+    ]
+    sums = stack(sides).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")])
+    return sums.filter("n <> 0 OR a <> 0 OR b <> 0").select("bucket")
+
+
+def differing_rows(
+    source: DataFrame, target: DataFrame, mode: str = "safe", buckets: int | None = None
+) -> DataFrame:
+    """The fingerprints whose number of copies differs, with both counts.
+
+    With ``buckets``, rows are first summed up per bucket, and only rows of buckets that differ
+    are shuffled. That pays off for large copies that are nearly equal: both sides are read and
+    hashed twice, but hardly anything is moved. The list of buckets is broadcast; it has at
+    most ``buckets`` entries.
+    """
+    if buckets is None:
+        profile = hash_profile(source, target, mode)
+    else:
+        target = align_to(target, source.columns)
+        suspects = F.broadcast(differing_buckets(source, target, mode, buckets))
+        profile = side_counts(
+            *[
+                _bucketed(df, mode, buckets).join(suspects, "bucket", "left_semi").select("row_hash")
+                for df in (source, target)
+            ]
+        )
     return profile.filter(F.col("source_count") != F.col("target_count")).select(
         F.lower(F.hex("row_hash")).alias("row_hash"), "source_count", "target_count"
     )

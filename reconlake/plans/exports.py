@@ -76,9 +76,9 @@ def export_by_time(df: DataFrame, path: str, ts: str, chunk_days: int = 30) -> E
     Write tasks are balanced by size: a range that holds most rows is split over several.
     """
     spark = df.sparkSession
-    first = chunks.time_bounds(df, ts).first()["min_ts"]
-    chunked = chunks.with_time_chunk(df, ts, first, chunk_days)
-    source_rows = df.count()
+    found = chunks.time_bounds(df, ts).first()
+    chunked = chunks.with_time_chunk(df, ts, found["min_ts"], chunk_days)
+    source_rows = found["rows"]
     if source_rows == 0:
         sink.write_parquet(chunked, path)
     else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,11 @@ from reconlake.functions import dates, status
 from reconlake.operators import counts as C
 from reconlake.operators import row_hashes as H
 from reconlake.operators.rollups import failed_tables
+from reconlake.plans.reports import write_report
+from reconlake.queries import ORACLES, query
 from reconlake.queries import fixtures as fx
-from reconlake.queries import query
+from reconlake.session import scratch_path
+from reconlake.sinks import tables as sink
 
 START = "1996-06-01"
 
@@ -249,6 +254,16 @@ def recon_months_many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.reconcile_months(spark, _pairs(spark, sf_dir))
 
 
+@query("recon_report_batches", ORACLES["recon_months_many_tables"])
+def recon_report_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report appended to a table in batches of five tables, and read back."""
+    name = f"recon_{uuid.uuid4().hex}"
+    sink.ensure_schema(spark, name, location=scratch_path(spark, "tables"))
+    pairs = _pairs(spark, sf_dir)
+    write_report(pairs, lambda part: C.reconcile_months(spark, part), f"{name}.months", 5)
+    return spark.table(f"{name}.months")
+
+
 _SAFE = (
     "sha256(concat_ws('|', "
     + ", ".join(
@@ -294,20 +309,28 @@ def recon_hash_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.compare_rows(*fx.orders_pair(spark, sf_dir), mode="compat")
 
 
-@query(
-    "recon_hash_differences",
+_DIFFERENCES = (
     fx.PAIR
     + f""",
 s AS (SELECT {_SAFE} AS h, count(*) AS n FROM orders_src GROUP BY 1),
 t AS (SELECT {_SAFE} AS h, count(*) AS n FROM orders_tgt GROUP BY 1)
 SELECT coalesce(s.h, t.h) AS row_hash, coalesce(s.n, 0) AS source_count,
        coalesce(t.n, 0) AS target_count
-FROM s FULL JOIN t ON s.h = t.h WHERE s.n IS DISTINCT FROM t.n""",
+FROM s FULL JOIN t ON s.h = t.h WHERE s.n IS DISTINCT FROM t.n"""
 )
+
+
+@query("recon_hash_differences", _DIFFERENCES)
 def recon_hash_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.differing_rows(*fx.orders_pair(spark, sf_dir))
 
 
+@query("recon_hash_differences_bucketed", _DIFFERENCES)
+def recon_hash_differences_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only rows of buckets whose digests differ are shuffled."""
+    return H.differing_rows(*fx.orders_pair(spark, sf_dir), buckets=65536)
+
+
 def _hash_tables_sql() -> str:
     parts = []
     for n in fx.TABLES:

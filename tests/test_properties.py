@@ -169,3 +169,19 @@ def test_known_rows_are_joined_after_copies_are_merged(spark, sf_dir):
     plan = optimized_of(incremental_rows(df, df))
     join, grouping = plan.index("Join LeftOuter"), plan.index("count(1) AS __copies")
     assert join < grouping  # the join is above the grouping
+
+
+@few
+@given(st.lists(ROW, max_size=12), st.lists(ROW, max_size=12), st.integers(1, 5))
+def test_bucketed_differences_are_the_differences(spark, a, b, buckets):
+    x, y = table(spark, a), table(spark, b)
+    plain = Counter(tuple(r) for r in H.differing_rows(x, y).collect())
+    assert Counter(tuple(r) for r in H.differing_rows(x, y, buckets=buckets).collect()) == plain
+    assert len(plain) == len([k for k in set(a) | set(b) if a.count(k) != b.count(k)])
+
+
+def test_export_by_time_balances_its_write(spark, sf_dir):
+    from reconlake.sinks.tables import balanced
+
+    df = chunks.with_time_chunk(fx.table(spark, sf_dir, "events"), "ts", dt.datetime(2024, 1, 1), 7)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(balanced(df, chunks.CHUNK))

@@ -341,3 +341,16 @@ def test_name_helpers(spark):
     ).first()
     assert tuple(r)[:5] == ("s", None, "s.t", "cat_x.s.t", "c.sql")
     assert len(r[5]) == 200
+
+
+def test_b27_report_isolates_a_table_that_fails_while_running(spark, schema):
+    from reconlake.plans.reports import write_report
+
+    good = frame(spark, [(dt.date(2025, 1, 1),)], "d date")
+    bad = good.withColumn("d", F.raise_error(F.lit("broken file")).cast("date"))
+    pairs = [C.TablePair(n, bad if n == "c" else good, good, "d") for n in "abcde"]
+    table = f"{schema}.days"
+    write_report(pairs, lambda p: C.reconcile_days(spark, p, "2025-01-01"), table, 4)
+    out = {r.target_table_name: r.validation_status for r in spark.table(table).collect()}
+    assert {n for n, s in out.items() if s == status.SUCCESS} == set("abde")
+    assert "broken file" in out["c"] and spark.table(table).count() == 5
