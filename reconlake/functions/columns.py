@@ -59,3 +59,8 @@ def zero_if_null(df: DataFrame, *names: str) -> DataFrame:
 def non_empty(array: Column) -> Column:
     """True for an array with at least one element; NULL arrays count as empty."""
     return F.coalesce(F.size(array) > 0, F.lit(False))
+
+
+def any_null(df: DataFrame) -> Column:
+    """True when at least one column is NULL."""
+    return F.expr(" OR ".join(f"{quoted(c)} IS NULL" for c in df.columns))

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from reconlake.functions.columns import quoted
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
-_FLOATING = (T.DoubleType, T.FloatType)
 
 
 def _value_text(field: T.StructField) -> str:
@@ -86,24 +85,3 @@ def hash_key(
 ) -> Column:
     """The same fingerprint as 32 bytes: half of what a shuffle on the hex text would move."""
     return F.expr(f"unhex({_row_hash(df, columns, mode, separator)})")
-
-
-def equality_key(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Fingerprint under which rows agree exactly when all values are null-safe equal.
-
-    Unlike :func:`row_hash` it follows SQL equality for floating point: 0.0 equals -0.0.
-    """
-    parts = []
-    for f in _fields(df, columns):
-        text = _value_text(f)
-        if isinstance(f.dataType, _FLOATING):
-            text = f"IF({quoted(f.name)} = 0, '0', {text})"
-        parts.append(_length_prefixed(text))
-    # never NULL, so that no join on it adds a null filter that would hash every row again
-    return F.expr(f"coalesce(unhex({_digest(parts, '|')}), X'')")
-
-
-def any_null(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """True when at least one of the columns is NULL."""
-    tests = [f"{quoted(f.name)} IS NULL" for f in _fields(df, columns)]
-    return F.expr(" OR ".join(tests))

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reconlake.functions import dates
-from reconlake.functions.columns import align_to, col
-from reconlake.functions.hashing import any_null, equality_key
+from reconlake.functions.columns import align_to, any_null, col
 
-_KEY, _KNOWN, _COPIES, _PIECE = "__row_key", "__known", "__copies", "__piece"
+_NEW, _COPIES, _KNOWN, _PIECE = "__new", "__copies", "__known", "__piece"
 _COPIES_PER_PIECE = 1000
 
 
@@ -29,44 +28,34 @@ def incremental_rows(
     matches, so it comes back on every run. ``dedupe`` returns each row once. As in SQL, -0.0
     equals 0.0 and comes back as 0.0.
 
-    Only a 32-byte key of the existing rows is shuffled, not the rows. Both sides are reduced
-    to distinct keys before they are joined, so no key is hot in it; the copies of a repeated
-    row are restored afterwards in bounded pieces that spread over the tasks.
+    Both sides are stacked and grouped by all columns: one shuffle, no join and no sort, and
+    copies of a row merge before they are moved, on either side. The copies of a repeated row
+    are restored afterwards in bounded pieces that spread over the tasks.
     """
     existing = align_to(existing, new.columns)
     if date_column is not None and cutoff is not None:
         new = dates.after(new, date_column, cutoff)
         existing = dates.after(existing, date_column, cutoff)
-
-    names = new.columns
-    key = equality_key(new)
     if not null_safe:
-        # rows with a NULL get a key that no existing row has
-        key = F.when(any_null(new), F.lit(b"")).otherwise(key)
         existing = existing.filter(~any_null(existing))
 
-    distinct_new = (
-        new.withColumn(_KEY, key)
-        .groupBy(_KEY, *[col(c) for c in names])
-        .agg(F.count(F.lit(1)).alias(_COPIES))
+    columns = [col(c) for c in new.columns]
+    is_new = F.col(_NEW)
+    distinct = (
+        new.withColumn(_NEW, F.lit(True))
+        .unionByName(existing.withColumn(_NEW, F.lit(False)))
+        .groupBy(*columns)
+        .agg(F.count_if(is_new).alias(_COPIES), F.count_if(~is_new).alias(_KNOWN))
     )
-    known = existing.select(equality_key(existing).alias(_KEY)).distinct().withColumn(_KNOWN, F.lit(True))
-    # not an anti-join: the optimizer would move that below the grouping, back onto all copies
-    missing = distinct_new.join(known, _KEY, "left").filter(F.col(_KNOWN).isNull())
-    columns = [col(c) for c in names]
+    missing = distinct.filter((F.col(_KNOWN) == 0) & (F.col(_COPIES) > 0))
     if dedupe:
         return missing.select(*columns)
+    last_piece = dates.whole_quotient(F.col(_COPIES) - 1, F.lit(_COPIES_PER_PIECE))
     pieces = missing.select(
         *columns,
-        _KEY,
         _COPIES,
-        F.explode(
-            F.sequence(
-                F.lit(0).cast("bigint"),
-                dates.whole_quotient(F.col(_COPIES) - 1, F.lit(_COPIES_PER_PIECE)),
-            )
-        ).alias(_PIECE),
-    ).repartition(_KEY, _PIECE)
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias(_PIECE),
+    ).repartition(F.xxhash64(*columns), F.col(_PIECE))
     in_piece = F.least(
         F.lit(_COPIES_PER_PIECE), F.col(_COPIES) - F.col(_PIECE) * _COPIES_PER_PIECE
     )

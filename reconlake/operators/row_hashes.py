@@ -37,6 +37,14 @@ def hash_profile(
     )
 
 
+def row_profile(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The same per distinct row instead of per fingerprint: all columns and two counts.
+
+    Nothing is hashed, which is faster for narrow rows; wide rows are moved in full.
+    """
+    return side_counts(source, align_to(target, source.columns))
+
+
 def _fingerprint(df: DataFrame, mode: str, separator: str) -> Column:
     return hash_key(df, None, mode, separator).alias("row_hash")
 
@@ -143,8 +151,23 @@ def symmetric_difference(
 
 
 def _bucketed(df: DataFrame, mode: str, buckets: int) -> DataFrame:
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError("the number of buckets must be a power of two")
     keyed = df.select(_fingerprint(df, mode, "||"))
-    return keyed.withColumn("bucket", F.pmod(F.xxhash64("row_hash"), F.lit(buckets)))
+    # a bit mask is never NULL, unlike a remainder: a join on it adds no null filter that
+    # would hash every row again
+    return keyed.withColumn("bucket", F.xxhash64("row_hash").bitwiseAND(F.lit(buckets - 1)))
+
+
+def _digest_parts(sign: int) -> list[Column]:
+    """Two 64-bit digests in pieces of 22 bits, small enough to be summed in a long."""
+    out = []
+    for seed in (1, 2):
+        digest = F.xxhash64("row_hash", F.lit(seed))
+        for shift in (0, 22, 44):
+            piece = F.shiftrightunsigned(digest, shift).bitwiseAND(F.lit((1 << 22) - 1))
+            out.append((piece * sign).alias(f"d{seed}_{shift}"))
+    return out
 
 
 def differing_buckets(
@@ -152,25 +175,19 @@ def differing_buckets(
 ) -> DataFrame:
     """Buckets of fingerprints in which the two sides do not hold the same rows.
 
-    A bucket is summed up by its row count and two sums of independent 64-bit digests, so one
-    record per task and bucket is shuffled instead of one per row.
+    A bucket is summed up by its row count and digests, so one record per task and bucket is
+    shuffled instead of one per row.
     """
-
-    def digest(seed: int) -> Column:
-        return F.xxhash64("row_hash", F.lit(seed)).cast("decimal(20,0)")
-
     target = align_to(target, source.columns)
     sides = [
         _bucketed(df, mode, buckets).select(
-            "bucket",
-            F.lit(sign).alias("n"),
-            (digest(1) * sign).alias("a"),
-            (digest(2) * sign).alias("b"),
+            "bucket", F.lit(sign).cast("bigint").alias("n"), *_digest_parts(sign)
         )
         for df, sign in ((source, 1), (target, -1))
     ]
-    sums = stack(sides).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")])
-    return sums.filter("n <> 0 OR a <> 0 OR b <> 0").select("bucket")
+    sums = [c for c in sides[0].columns if c != "bucket"]
+    totals = stack(sides).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    return totals.filter(" OR ".join(f"{c} <> 0" for c in sums)).select("bucket")
 
 
 def differing_rows(

@@ -309,6 +309,12 @@ def recon_hash_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.compare_rows(*fx.orders_pair(spark, sf_dir), mode="compat")
 
 
+@query("recon_rows_exact", _hash_sql(_SAFE))
+def recon_rows_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same comparison grouped by the rows themselves."""
+    return H.summarize(H.row_profile(*fx.orders_pair(spark, sf_dir)))
+
+
 _DIFFERENCES = (
     fx.PAIR
     + f""",

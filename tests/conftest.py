@@ -54,7 +54,3 @@ def rows(df):
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
-
-
-def optimized_of(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()
