@@ -34,15 +34,15 @@ def _value_text(field: T.StructField) -> str:
     return f"CAST({c} AS string)"
 
 
-def _length_prefixed(text: str) -> str:
-    # concat is NULL for a NULL text. Both uses of the text are always evaluated, which lets
-    # the generated code compute it once; inside a CASE branch it would be computed each time.
-    return f"coalesce(concat(CAST(length({text}) AS string), ':', {text}), 'N')"
+def _length_prefixed(field: T.StructField) -> str:
+    """Arguments for ``concat``: length, colon and text, or a lone N for NULL.
 
-
-def _digest(parts: Sequence[str], separator: str) -> str:
-    escaped = separator.replace("\\", "\\\\").replace("'", "\\'")
-    return f"sha2(concat_ws('{escaped}', {', '.join(parts)}), 256)"
+    They are left apart so that one ``concat`` over the whole row copies each text once. Every
+    use of a text is always evaluated, which lets the generated code compute it once.
+    """
+    text = _value_text(field)
+    colon = f"IF({quoted(field.name)} IS NULL, '', ':')"
+    return f"coalesce(CAST(length({text}) AS string), 'N'), {colon}, coalesce({text}, '')"
 
 
 def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]:
@@ -57,9 +57,12 @@ def _row_hash(
 ) -> str:
     fields = _fields(df, columns)
     if mode == "safe":
-        return _digest([_length_prefixed(_value_text(f)) for f in fields], "|")
+        row = ", '|', ".join(_length_prefixed(f) for f in fields)
+        return f"sha2(concat({row}), 256)"
     if mode == "compat":
-        return _digest([f"CAST({quoted(f.name)} AS string)" for f in fields], separator)
+        escaped = separator.replace("\\", "\\\\").replace("'", "\\'")
+        row = ", ".join(f"CAST({quoted(f.name)} AS string)" for f in fields)
+        return f"sha2(concat_ws('{escaped}', {row}), 256)"
     raise ValueError(f"unknown hash mode {mode!r}")
 
 
