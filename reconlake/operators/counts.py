@@ -85,6 +85,33 @@ def side_counts(
     )
 
 
+def merge_counts(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], missing: int | None = 0
+) -> DataFrame:
+    """Both counts per key, from sides that were counted apart, such as in a remote database.
+
+    ``source`` has the keys and source_count, ``target`` the keys and target_count. A key that a
+    side lacks gets ``missing`` there; None leaves it unknown.
+    """
+    counted = source.select(*keys, "source_count").unionByName(
+        target.select(*keys, "target_count"), allowMissingColumns=True
+    )
+    sums = [F.sum(c) for c in ("source_count", "target_count")]
+    if missing is not None:
+        sums = [F.coalesce(c, F.lit(missing)) for c in sums]
+    return counted.groupBy(*[col(k) for k in keys]).agg(
+        sums[0].alias("source_count"), sums[1].alias("target_count")
+    )
+
+
+def one_sided_days(df: DataFrame, date_column: str, start_date: str | None, name: str) -> DataFrame:
+    """Rows per dpYear, dpMonth, dpDay of one side, in a column of the given name."""
+    days = _day_keys(df, date_column, start_date, ()).groupBy("day").agg(F.count(F.lit(1)).alias(name))
+    return days.select(
+        F.year("day").alias("dpYear"), F.month("day").alias("dpMonth"), F.day("day").alias("dpDay"), name
+    )
+
+
 def _day(df: DataFrame, date_column: str) -> Column:
     return dates.as_temporal(df, date_column).cast("date")
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.operators import chunks
 from reconlake.operators.repair import repair_numbers
 from reconlake.session import scratch_path
 from reconlake.sinks import tables as sink
+from reconlake.sources import jdbc
 
 
 @dataclass(frozen=True)
@@ -85,3 +87,43 @@ def export_by_time(df: DataFrame, path: str, ts: str, chunk_days: int = 30) -> E
         sink.write_balanced(chunked, path, [chunks.CHUNK])
     written = spark.read.schema(chunked.schema).parquet(path)
     return _finish(path, written, source_rows)
+
+
+def export_remote_by_time(
+    spark: SparkSession,
+    url: str,
+    name: str,
+    ts: str,
+    path: str,
+    chunk_days: int = 30,
+    reads_per_chunk: int = 1,
+    column: str | None = None,
+    literal: str = "TIMESTAMP '{}'",
+    **options: str,
+) -> Export:
+    """The same from a remote table: bounds and row count come from the database.
+
+    Every time range is read by ``reads_per_chunk`` tasks with a predicate of their own; raise it
+    when one range holds much of the table. ``column`` is the SQL of the timestamp column when
+    that differs from its name.
+    """
+    column = column or ts
+    found = jdbc.time_bounds(spark, url, name, column, **options).first()
+    source_rows, first, last = int(found["rows"]), found["min_ts"], found["max_ts"]
+    ranges = []
+    if first is not None:
+        step = dt.timedelta(days=chunk_days) / reads_per_chunk
+        start = first
+        while start <= last:
+            ranges.append((start, start + step))
+            start += step
+    predicates = jdbc.time_predicates(column, ranges, literal=literal)
+    rows = jdbc.by_predicates(spark, url, name, predicates, **options)
+    chunked = chunks.with_time_chunk(rows, ts, first, chunk_days)
+    if source_rows == 0:
+        sink.write_parquet(chunked, path)
+    else:
+        # a read task holds rows of one chunk already, so nothing is shuffled
+        sink.write_parquet(chunked, path, [chunks.CHUNK])
+    written = spark.read.schema(chunked.schema).parquet(path)
+    return _finish(path, written, source_rows)

@@ -44,6 +44,18 @@ def recon_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.with_status(C.day_counts(source, target, "o_orderdate"))
 
 
+@query("recon_day_counted_apart", _DAY_SQL.format(since=f" AND o_orderdate >= DATE '{START}'"))
+def recon_day_counted_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each side is counted for itself, as when one is counted in its own database."""
+    source, target = fx.orders_pair(spark, sf_dir)
+    merged = C.merge_counts(
+        C.one_sided_days(source, "o_orderdate", START, "source_count"),
+        C.one_sided_days(target, "o_orderdate", START, "target_count"),
+        ["dpYear", "dpMonth", "dpDay"],
+    )
+    return C.with_status(merged)
+
+
 @query("recon_day_since", _DAY_SQL.format(since=f" AND o_orderdate >= DATE '{START}'"))
 def recon_day_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = fx.orders_pair(spark, sf_dir)

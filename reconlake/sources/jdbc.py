@@ -53,22 +53,35 @@ def by_predicates(
     return spark.read.jdbc(url, name, predicates=list(predicates), properties=dict(options))
 
 
-def time_predicates(column: str, ranges: Sequence[tuple[object, object]], nulls: bool = True) -> list[str]:
+def time_predicates(
+    column: str,
+    ranges: Sequence[tuple[object, object]],
+    nulls: bool = True,
+    literal: str = "TIMESTAMP '{}'",
+) -> list[str]:
     """Half-open ranges as predicates, with one more for rows without a timestamp."""
-    out = [f"{column} >= TIMESTAMP '{a}' AND {column} < TIMESTAMP '{b}'" for a, b in ranges]
+    out = [
+        f"{column} >= {literal.format(a)} AND {column} < {literal.format(b)}" for a, b in ranges
+    ]
     return out + [f"{column} IS NULL"] if nulls else out
 
 
 def page(
-    spark: SparkSession, url: str, name: str, order_by: Sequence[str], offset: int, size: int,
+    spark: SparkSession,
+    url: str,
+    name: str,
+    order_by: Sequence[str],
+    offset: int,
+    size: int,
+    paging: str = "LIMIT {size} OFFSET {offset}",
     **options: str,
 ) -> DataFrame:
     """Rows ``offset .. offset + size`` in a fixed order.
 
     The order must be total: without it two pages may share rows or miss some.
     """
-    keys = ", ".join(order_by)
-    sql = f"SELECT * FROM {name} ORDER BY {keys} OFFSET {offset} ROWS FETCH NEXT {size} ROWS ONLY"
+    cut = paging.format(size=size, offset=offset)
+    sql = f"SELECT * FROM {name} ORDER BY {', '.join(order_by)} {cut}"
     return table(spark, url, f"({sql}) chunk", **options)
 
 
@@ -81,26 +94,46 @@ def row_count(spark: SparkSession, url: str, name: str, **options: str) -> DataF
     return query(spark, url, f"SELECT COUNT(*) AS row_count FROM {name}", **options)
 
 
-def day_counts(
-    spark: SparkSession, url: str, name: str, date_column: str, start_date: str | None = None,
+def period_counts(
+    spark: SparkSession,
+    url: str,
+    name: str,
+    date_column: str,
+    start_date: str | None = None,
+    parts: Sequence[str] = ("YEAR", "MONTH", "DAY"),
+    part: str = "EXTRACT({part} FROM {column})",
     **options: str,
 ) -> DataFrame:
-    """Day-wise counts of a remote table, aggregated in the database."""
+    """Rows per day, or per month, of a remote table, aggregated in the database.
+
+    Columns are dpYear, dpMonth, dpDay as far as asked for, and source_count.
+    """
     where = f"{date_column} IS NOT NULL"
     if start_date:
         where += f" AND {date_column} >= '{start_date}'"
-    parts = ", ".join(f"{p}({date_column}) AS dp{p.title()}" for p in ("YEAR", "MONTH", "DAY"))
-    groups = ", ".join(f"{p}({date_column})" for p in ("YEAR", "MONTH", "DAY"))
-    return query(
-        spark, url,
-        f"SELECT {parts}, COUNT(*) AS source_count FROM {name} WHERE {where} GROUP BY {groups}",
+    keys = [part.format(part=p, column=date_column) for p in parts]
+    listed = ", ".join(f"{k} AS dp{p.title()}" for k, p in zip(keys, parts))
+    found = query(
+        spark,
+        url,
+        f"SELECT {listed}, COUNT(*) AS source_count FROM {name} WHERE {where} "
+        f"GROUP BY {', '.join(keys)}",
         **options,
     )
+    names = [f"dp{p.title()}" for p in parts]
+    # databases differ in the case and the type of what they return
+    return found.toDF(*names, "source_count").selectExpr(
+        *[f"CAST({n} AS int) AS {n}" for n in names], "CAST(source_count AS bigint) AS source_count"
+    )
 
 
 def time_bounds(spark: SparkSession, url: str, name: str, column: str, **options: str) -> DataFrame:
-    return query(
-        spark, url, f"SELECT MIN({column}) AS min_ts, MAX({column}) AS max_ts FROM {name}", **options
+    """First and last timestamp and number of rows, computed in the database."""
+    sql = f"SELECT MIN({column}) AS a, MAX({column}) AS b, COUNT(*) AS n FROM {name}"
+    found = query(spark, url, sql, **options).toDF("a", "b", "n")
+    # wall clock, so that the time zone of the driver's Python does not shift it
+    return found.selectExpr(
+        "CAST(a AS timestamp_ntz) AS min_ts", "CAST(b AS timestamp_ntz) AS max_ts", "n AS rows"
     )
 
 

@@ -7,8 +7,10 @@ import datetime as dt
 import pytest
 from conftest import rows
 
+from reconlake.functions import status
 from reconlake.functions.dates import date_fields
 from reconlake.operators import counts as C
+from reconlake.plans import exports
 from reconlake.queries import fixtures as fx
 from reconlake.sources import jdbc
 
@@ -38,10 +40,45 @@ def test_query_runs_in_the_database(spark, orders):
     assert bounds[0] < bounds[1]
 
 
-def test_day_counts_agree_with_the_catalog_side(spark, orders):
-    remote = jdbc.day_counts(spark, URL, "orders", '"o_orderdate"', "1997-01-01 00:00:00", **DRIVER)
-    local = C.day_counts(orders, orders, "o_orderdate", "1997-01-01")
-    assert rows(remote) == rows(local.select("dpYear", "dpMonth", "dpDay", "source_count"))
+def test_days_counted_in_the_database(spark, orders):
+    """The remote side sends one row per day; the copy lost two days' worth of rows."""
+    since = "1997-01-01 00:00:00"
+    remote = jdbc.period_counts(
+        spark, URL, "orders", '"o_orderdate"', since, part="{part}({column})", **DRIVER
+    )
+    keys = ["dpYear", "dpMonth", "dpDay"]
+    copy = orders.filter("o_orderdate NOT BETWEEN '1998-03-01' AND '1998-03-02'")
+    local = C.one_sided_days(copy, "o_orderdate", "1997-01-01", "target_count")
+    merged = C.with_status(C.merge_counts(remote, local, keys))
+    expected = C.with_status(C.day_counts(orders, copy, "o_orderdate", "1997-01-01"))
+    assert rows(merged) == rows(expected)
+    months = jdbc.period_counts(
+        spark, URL, "orders", '"o_orderdate"', None, ("YEAR", "MONTH"), "{part}({column})", **DRIVER
+    )
+    expected = C.month_counts(orders, orders, "o_orderdate").drop("target_count")
+    assert rows(months) == rows(expected)
+
+
+def test_totals_counted_in_the_database(spark, orders):
+    n = orders.count()
+    remote = jdbc.row_count(spark, URL, "orders", **DRIVER).toDF("n").selectExpr(
+        "'a' AS t", "CAST(n AS bigint) AS source_count"
+    )
+    local = spark.createDataFrame([("a", n), ("b", 1)], "t string, target_count long")
+    merged = C.merge_counts(remote, local, ["t"], missing=None)
+    labelled = merged.withColumn("s", status.total_label(merged.source_count, merged.target_count))
+    assert rows(labelled) == [("a", n, n, "SUCCESS"), ("b", None, 1, "SOURCE_QUERY_FAIL")]
+
+
+@pytest.mark.parametrize("reads", [1, 3])
+def test_export_by_time_from_the_database(spark, orders, tmp_path, reads):
+    out = exports.export_remote_by_time(
+        spark, URL, "orders", "o_orderdate", str(tmp_path / "x"), 365, reads,
+        column='"o_orderdate"', literal="TIMESTAMP('{}')", **DRIVER,
+    )
+    assert out.check.first().status == "VALIDATION_SUCCESS"
+    local = exports.export_by_time(orders, str(tmp_path / "y"), "o_orderdate", 365)
+    assert rows(out.manifest.drop("path")) == rows(local.manifest.drop("path"))
 
 
 def test_partitioned_read(spark, orders):
@@ -52,17 +89,18 @@ def test_partitioned_read(spark, orders):
 def test_time_chunks_as_predicates(spark, orders):
     cut = dt.datetime(1998, 1, 1)
     ranges = [(dt.datetime(1990, 1, 1), cut), (cut, dt.datetime(2010, 1, 1))]
-    found = jdbc.time_predicates('"o_orderdate"', ranges)
-    # the embedded database writes timestamp literals as a function call
-    found = [p.replace("TIMESTAMP '", "TIMESTAMP('").replace("00:00:00'", "00:00:00')") for p in found]
+    assert jdbc.time_predicates("d", ranges[:1])[0].endswith("d < TIMESTAMP '1998-01-01 00:00:00'")
+    found = jdbc.time_predicates('"o_orderdate"', ranges, literal="TIMESTAMP('{}')")
     df = jdbc.by_predicates(spark, URL, "orders", found, **DRIVER)
     assert df.rdd.getNumPartitions() == 3 and df.count() == orders.count()
 
 
 def test_pages_cover_the_table(spark, orders):
     n = orders.count()
+    ansi = "OFFSET {offset} ROWS FETCH NEXT {size} ROWS ONLY"
     pages = [
-        jdbc.page(spark, URL, "orders", ['"o_orderkey"'], o, 700, **DRIVER) for o in range(0, n, 700)
+        jdbc.page(spark, URL, "orders", ['"o_orderkey"'], o, 700, ansi, **DRIVER)
+        for o in range(0, n, 700)
     ]
     assert [p.count() for p in pages] == [min(700, n - o) for o in range(0, n, 700)]
     assert C.stack(pages).select("o_orderkey").distinct().count() == n
