@@ -40,7 +40,8 @@ def date_fields(df: DataFrame) -> list[str]:
 
 def as_temporal(df: DataFrame, name: str) -> Column:
     """The column as it is, or parsed when it is text (unparseable text becomes NULL)."""
-    if isinstance(df.schema[name].dataType, T.StringType):
+    kinds = [f.dataType for f in df.schema.fields if f.name.lower() == name.lower()]
+    if kinds and isinstance(kinds[0], T.StringType):
         return col(name).try_cast("timestamp_ntz")
     return col(name)
 

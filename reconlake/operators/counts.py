@@ -9,7 +9,7 @@ of table pairs share one plan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -57,6 +57,7 @@ class TablePair:
     date_column: str | None = None
     source_error: str | None = None
     target_error: str | None = None
+    comparable: bool = True
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
@@ -214,8 +215,22 @@ def _literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType)
     return spark.createDataFrame(rows, schema)
 
 
-def _readable(p: TablePair) -> bool:
-    return p.source is not None and p.target is not None
+def readable_pair(p: TablePair) -> bool:
+    return p.comparable and p.source is not None and p.target is not None
+
+
+def checked_columns(p: TablePair) -> TablePair:
+    """A side that lacks the date column counts as one that cannot be read, with the reason."""
+
+    def lacks(df: DataFrame | None) -> bool:
+        return df is not None and p.date_column.lower() not in [c.lower() for c in df.columns]
+
+    error = f"no column {p.date_column}"
+    if p.date_column and lacks(p.source):
+        p = replace(p, source=None, source_error=error)
+    if p.date_column and lacks(p.target):
+        p = replace(p, target=None, target_error=error)
+    return p
 
 
 def _error_text(p: TablePair) -> str:
@@ -232,16 +247,17 @@ def reconcile_days(
     A table without a date column, an unreadable side, and a table with no rows since
     ``start_date`` on either side each give one row that says so.
     """
-    checked = [p for p in pairs if _readable(p) and p.date_column]
+    pairs = [checked_columns(p) for p in pairs]
+    checked = [p for p in pairs if readable_pair(p) and p.date_column]
     notes = [
         (
             p.table_name,
             *[None] * 5,
-            status.SKIPPED_NO_DATE if _readable(p) else _error_text(p),
+            status.SKIPPED_NO_DATE if readable_pair(p) else _error_text(p),
             p.date_column,
         )
         for p in pairs
-        if not (_readable(p) and p.date_column)
+        if not (readable_pair(p) and p.date_column)
     ]
     parts = []
     if checked:
@@ -292,12 +308,13 @@ def reconcile_days(
 
 def reconcile_months(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
     """Month-wise report over many tables; a table without a date column is counted in total."""
+    pairs = [checked_columns(p) for p in pairs]
     notes = [
         (p.table_name, *[None] * 4, _error_text(p), p.date_column)
         for p in pairs
-        if not _readable(p)
+        if not readable_pair(p)
     ]
-    checked = [p for p in pairs if _readable(p)]
+    checked = [p for p in pairs if readable_pair(p)]
     parts = []
     if checked:
 

@@ -8,14 +8,21 @@ result has the distinct-row view (set difference) and the multiset view (lost or
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.functions import dates, status
 from reconlake.functions.columns import align_to, col
 from reconlake.functions.hashing import hash_key
-from reconlake.operators.counts import TablePair, side_counts, stack
+from reconlake.operators.counts import (
+    TablePair,
+    checked_columns,
+    readable_pair,
+    side_counts,
+    stack,
+)
 
 
 def hash_profile(
@@ -83,6 +90,18 @@ def compare_rows(
     return summarize(hash_profile(source, target, mode, separator, by), by)
 
 
+def _comparable(p: TablePair, windowed: bool) -> TablePair:
+    """Target columns in source order; a pair that cannot be compared carries the reason."""
+    if windowed:
+        p = checked_columns(p)
+    if p.source is None or p.target is None:
+        return p
+    try:
+        return replace(p, target=align_to(p.target, p.source.columns))
+    except ValueError as e:
+        return replace(p, target_error=str(e), comparable=False)
+
+
 def reconcile_hashes(
     pairs: Sequence[TablePair],
     start_date: str | None = None,
@@ -94,14 +113,15 @@ def reconcile_hashes(
     With ``start_date``, tables that have a date column are compared from that date on.
     A table that one side lacks is a row whose hash counts on that side are NULL.
     """
-    spark = next(f for p in pairs for f in (p.source, p.target) if f is not None).sparkSession
-    readable = [p for p in pairs if p.source is not None and p.target is not None]
+    pairs = [_comparable(p, bool(start_date)) for p in pairs]
+    spark = SparkSession.active()
+    readable = [p for p in pairs if readable_pair(p)]
     listed = spark.createDataFrame(
         [
             (
                 p.table_name,
                 "; ".join(e[:200] for e in (p.source_error, p.target_error) if e) or None,
-                p.source is not None and p.target is not None,
+                readable_pair(p),
             )
             for p in pairs
         ],
@@ -116,7 +136,7 @@ def reconcile_hashes(
     nothing = spark.createDataFrame([], "table_name string, row_hash binary")
     profile = side_counts(
         stack([nothing] + [keyed(p, p.source) for p in readable]),
-        stack([nothing] + [keyed(p, align_to(p.target, p.source.columns)) for p in readable]),
+        stack([nothing] + [keyed(p, p.target) for p in readable]),
     )
     summary = summarize(profile, ["table_name"])
     joined = listed.join(summary, "table_name", "left")

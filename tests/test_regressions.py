@@ -205,6 +205,8 @@ def test_b17_all_sides_missing(spark):
     df = frame(spark, [(1,)], "k int")
     out = H.reconcile_hashes([C.TablePair("b", None, df, None, "gone")]).first()
     assert (out.validation_status, out.error_message) == (status.NOT_MATCH, "gone")
+    both = H.reconcile_hashes([C.TablePair("b", None, None, None, "gone", "lost")]).first()
+    assert both.error_message == "gone; lost"
 
 
 def test_empty_copies_match(spark):
@@ -355,3 +357,24 @@ def test_b27_report_isolates_a_table_that_fails_while_running(spark, schema):
     out = {r.target_table_name: r.validation_status for r in spark.table(table).collect()}
     assert {n for n, s in out.items() if s == status.SUCCESS} == set("abde")
     assert "broken file" in out["c"] and spark.table(table).count() == 5
+
+
+def test_different_columns_are_a_row_of_the_report(spark):
+    a = frame(spark, [(1, dt.date(2025, 1, 1))], "k int, d date")
+    b = frame(spark, [(1, dt.date(2025, 1, 1))], "k int, happened date")
+    pairs = [C.TablePair("same", a, a, "D"), C.TablePair("other", a, b, "d")]
+    hashes = {r.table_name: r for r in H.reconcile_hashes(pairs).collect()}
+    assert hashes["same"].validation_status == status.MATCH
+    assert hashes["other"].validation_status == status.NOT_MATCH
+    assert "missing ['d']" in hashes["other"].error_message
+    since = {r.table_name: r for r in H.reconcile_hashes(pairs, "2025-01-01").collect()}
+    assert since["other"].error_message == "no column d"
+    for report in (
+        C.reconcile_days(spark, pairs, "2025-01-01"),
+        C.reconcile_months(spark, pairs),
+    ):
+        out = {r.target_table_name: r.validation_status for r in report.collect()}
+        assert out == {
+            "same": status.SUCCESS,
+            "other": "ERROR: target missing/access - no column d",
+        }
