@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reconlake.llm import exact_stream, mixing, token_counts, token_files
+from reconlake.llm import exact_stream, mixing, simhash, token_counts, token_files
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_stream.ExactDedup(spark, f"{sf_dir}/documents.parquet").advance().result()
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.NearDuplicates(documents(spark, sf_dir)).components()
