@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reconlake.llm import exact_stream, language, mixing, simhash, token_counts, token_files
+from reconlake.llm import exact_stream, language, mixing, simhash, templates, token_counts, token_files
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language.identify(docs, language.learn(docs))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = templates.Leaks(documents(spark, sf_dir), benchmark).pairs()
+    return found.select("doc_id", "item_id", "share", "as_written")
