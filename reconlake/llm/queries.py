@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reconlake.llm import exact_stream, language, mixing, simhash, templates, token_counts, token_files
+from reconlake.llm import exact_stream, language, line_chunks, mixing, simhash, templates, token_counts, token_files
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = templates.Leaks(documents(spark, sf_dir), benchmark).pairs()
     return found.select("doc_id", "item_id", "share", "as_written")
+
+
+@query("op7_line_chunks")
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.LineChunks(documents(spark, sf_dir)).report()

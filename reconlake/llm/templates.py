@@ -8,7 +8,7 @@ value in the document, and the other way round. An item is in a document if 0.8
 windows are.
 
 Documents stay where they are read. Their windows are tested against a Bloom filter of the
-benchmark's windows (its size is fixed, whatever the benchmark's), and only windows that may match become
+benchmark's windows (its size has a bound, whatever the benchmark's), and only windows that may match become
 rows. Pairs of document and item are found through each item's rarest windows: an item of n windows
 that has 0.8 n of them in a document has at least one of its n - ceil(0.8 n) + 1 rarest there, so text that
 all items share makes no pairs. The pairs found are then counted exactly, over all windows.
@@ -29,16 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reconlake.llm import workers
+from reconlake.llm.filters import HashFilter
 from reconlake.session import scratch_path
 
 WINDOW = 5
 LEAST_SHARE = 0.8
 #: A template window needs so many ordinary words; others are compared as they are written only.
 LEAST_WORDS = 2
-#: Bits of the filter that is broadcast. A benchmark of any size works; beyond some ten million windows
-#: the filter lets more windows through to the join, which decides.
-FILTER_BITS = 1 << 24
-
 # Units that count as placeholders after a number, or joined to it.
 UNITS = frozenset(
     "mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr d ms hz khz mhz ghz w kw v a k c f pa kpa"
@@ -135,10 +132,6 @@ def _slots(words: np.ndarray, kinds: np.ndarray, at: int) -> list[int]:
     return [int(w) for w in words[at : at + WINDOW][kinds[at] > 0].astype(np.int64)]
 
 
-def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return hashes % np.uint64(FILTER_BITS), (hashes >> np.uint64(33)) % np.uint64(FILTER_BITS)
-
-
 _ITEM = pa.schema(
     [("item_id", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()),
      ("template", pa.bool_()), ("slots", pa.list_(pa.int64()))]
@@ -226,30 +219,11 @@ class Leaks:
         self._candidates().write.parquet(f"{self.at}/candidates")
         self.candidates = self.spark.read.parquet(f"{self.at}/candidates")
 
-    def _filter(self) -> np.ndarray:
-        """The bits of the filter, at most FILTER_BITS / 8 rows of one byte each."""
-        low = F.lit(FILTER_BITS - 1)
-        probes = [F.col("hash").bitwiseAND(low), F.shiftrightunsigned("hash", 33).bitwiseAND(low)]
-        bit = self.items.select(F.explode(F.array(*probes)).alias("bit"))
-        one = F.call_function("shiftleft", F.lit(1), (F.col("bit") % 8).cast("int"))
-        found = bit.groupBy((F.col("bit") / 8).cast("long").alias("byte")).agg(F.bit_or(one).alias("v")).collect()
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for byte, value in found:
-            bits[byte] = value
-        return bits
-
     def _find_hits(self) -> None:
-        shared = self.spark.sparkContext.broadcast(self._filter())
+        shared = self.spark.sparkContext.broadcast(HashFilter.of(self.items, "hash"))
 
         def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = shared.value
-
-            def possible(hashes: np.ndarray) -> np.ndarray:
-                found = np.ones(len(hashes), bool)
-                for probe in _probes(hashes):
-                    found &= (bits[(probe >> np.uint64(3)).astype(np.int64)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                return found
-
+            possible = shared.value.might_have
             for batch in batches:
                 ids, keys, hashes, slots = [], [], [], []
                 for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
