@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reconlake.llm import exact_stream, language, line_chunks, mixing, simhash, templates, token_counts, token_files
+from reconlake.llm import exact_stream, language, line_chunks, mixing, pii, simhash, templates, token_counts, token_files
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +137,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_line_chunks")
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.LineChunks(documents(spark, sf_dir)).report()
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find_personal_data(docs, pii.fit(docs))
+    base = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], base, "spans")
