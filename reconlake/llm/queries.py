@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import exact_stream, language, line_chunks, mixing, pii, simhash, templates, token_counts, token_files
+from reconlake.llm import exact_stream, language, licenses, line_chunks, mixing, pii, simhash, templates, token_counts, token_files
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,13 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(docs, pii.fit(docs))
     base = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], base, "spans")
+
+
+@query("op3_licenses")
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a tree, with a directory per 1,000 and below it per 50 ids."""
+    number = F.coalesce(F.col("doc_id"), F.lit(-1))
+    thousand, fifty = F.floor(number / 1000), F.floor(number / 50)
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), thousand, fifty, F.concat(number, F.lit(".txt")))
+    files = documents(spark, sf_dir).select("doc_id", "text", path.alias("path"))
+    return licenses.LicenseScan(files, keep=("doc_id",)).result()
