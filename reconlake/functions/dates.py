@@ -96,7 +96,8 @@ def from_yyyymmdd(c: Column) -> Column:
 
 
 def from_epoch_days(c: Column) -> Column:
-    return F.date_from_unix_date(c.cast("int"))
+    """Days since 1970; NULL when the number is no day that a date can hold."""
+    return F.date_from_unix_date(c.try_cast("int"))
 
 
 def from_timestamp_text(c: Column) -> Column:
@@ -108,23 +109,6 @@ def from_time_text(c: Column, anchor: str = "1970-01-01") -> Column:
     return F.try_to_timestamp(F.concat(F.lit(anchor + " "), c), F.lit(TIMESTAMP_FORMAT))
 
 
-def from_mixed(c: Column, kind: T.DataType) -> Column:
-    """Value-by-value parsing of a column that mixes several date forms; text or integers."""
-    if isinstance(kind, T.StringType):
-        return (
-            F.when(c.rlike(TIMESTAMP_PATTERN), from_timestamp_text(c))
-            .when(F.length(c) == 14, F.try_to_timestamp(c, F.lit("yyyyMMddHHmmss")))
-            .when(F.length(c) == 8, F.try_to_timestamp(c, F.lit("yyyyMMdd")))
-        )
-    size = F.length(c.cast("string"))
-    return (
-        F.when(size == 10, from_epoch_seconds(c))
-        .when(size == 13, from_epoch_millis(c))
-        .when(c.between(0, 36500), from_epoch_days(c.try_cast("int")).cast("timestamp"))
-        .when(size == 8, from_yyyymmdd(c).cast("timestamp"))
-    )
-
-
 def to_utc(df: DataFrame, zone: str = "Asia/Kolkata") -> DataFrame:
     """Every timestamp column read as wall clock of ``zone`` and moved to UTC, in one projection."""
     out = []

@@ -233,10 +233,10 @@ def checked_columns(p: TablePair) -> TablePair:
     return p
 
 
-def _error_text(p: TablePair) -> str:
+def _error_text(p: TablePair, longest: int | None = None) -> str:
     if p.target is None:
-        return f"ERROR: target missing/access - {(p.target_error or '')[:200]}"
-    return f"ERROR: source query - {(p.source_error or '')[:200]}"
+        return f"ERROR: target missing/access - {(p.target_error or '')[:longest]}"
+    return f"ERROR: source query - {(p.source_error or '')[:longest]}"
 
 
 def reconcile_days(
@@ -253,7 +253,7 @@ def reconcile_days(
         (
             p.table_name,
             *[None] * 5,
-            status.SKIPPED_NO_DATE if readable_pair(p) else _error_text(p),
+            status.SKIPPED_NO_DATE if readable_pair(p) else _error_text(p, 200),
             p.date_column,
         )
         for p in pairs
@@ -307,7 +307,10 @@ def reconcile_days(
 
 
 def reconcile_months(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
-    """Month-wise report over many tables; a table without a date column is counted in total."""
+    """Month-wise report over many tables; a table without a date column is counted in total.
+
+    A table of which no date is known has one row that says so; see :func:`undated_rows`.
+    """
     pairs = [checked_columns(p) for p in pairs]
     notes = [
         (p.table_name, *[None] * 4, _error_text(p), p.date_column)
@@ -330,20 +333,68 @@ def reconcile_months(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFra
                 month.alias("month"),
             )
 
-        dateless = [(p.table_name,) for p in checked if not p.date_column]
+        # two empty copies have no rows, but are equal all the same
+        listed = _literal_rows(
+            spark,
+            [(p.table_name, p.date_column) for p in checked],
+            T.StructType([DAY_RESULT[0], DAY_RESULT[7]]),
+        )
         counts = side_counts(
             stack(side(p, p.source) for p in checked),
             stack(side(p, p.target) for p in checked),
-            # two empty copies have no rows, but are equal all the same
-            _literal_rows(spark, dateless, T.StructType([DAY_RESULT[0]])) if dateless else None,
+            listed,
+        )
+        # the listed key without a month stays where it is the only one, or the table's total
+        last_month = F.max("month").over(Window.partitionBy("target_table_name"))
+        counts = counts.withColumn("last_month", last_month).filter(
+            F.col("month").isNotNull() | F.col("last_month").isNull()
         )
-        months = counts.withColumns({"dpYear": F.year("month"), "dpMonth": F.month("month")})
-        parts.append(cast_to(with_status(months), MONTH_RESULT))
+        months = with_status(
+            counts.withColumns({"dpYear": F.year("month"), "dpMonth": F.month("month")})
+        )
+        undated = F.col("month").isNull() & F.col("date_column_used").isNotNull()
+        label = F.when(undated, "not_data_found").otherwise(F.col("validation_status"))
+        parts.append(cast_to(months.withColumn("validation_status", label), MONTH_RESULT))
     if notes or not parts:
         parts.append(_literal_rows(spark, notes, MONTH_RESULT))
     return stack(parts)
 
 
+def undated_rows(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
+    """One row per table: rows on either side whose date is NULL or cannot be read.
+
+    Reports by period cannot show these rows. An unreadable side, or one without the column, is NULL.
+    """
+    pairs = [checked_columns(p) for p in pairs if p.date_column]
+    listed = _literal_rows(
+        spark,
+        [(p.table_name, p.date_column, p.source is not None, p.target is not None) for p in pairs],
+        "table_name string, date_column string, source_readable boolean, target_readable boolean",
+    )
+
+    def side(name: str) -> DataFrame:
+        frames = [
+            getattr(p, name).select(
+                F.lit(p.table_name).alias("table_name"),
+                dates.as_temporal(getattr(p, name), p.date_column).isNull().alias("undated"),
+            )
+            for p in pairs
+            if getattr(p, name) is not None
+        ]
+        kept = stack(frames) if frames else spark.createDataFrame([], "table_name string, undated boolean")
+        return kept.where("undated").select("table_name")
+
+    counts = side_counts(side("source"), side("target"), listed.select("table_name"))
+    known = listed.join(counts, "table_name").select(
+        "table_name",
+        "date_column",
+        F.when(F.col("source_readable"), F.col("source_count")).alias("source_undated"),
+        F.when(F.col("target_readable"), F.col("target_count")).alias("target_undated"),
+    )
+    same = F.coalesce(F.col("source_undated") == F.col("target_undated"), F.lit(False))
+    return known.withColumn("is_matching", same)
+
+
 def reconcile_totals(
     spark: SparkSession, pairs: Sequence[TablePair], source_catalog: str = "", catalog: str = ""
 ) -> DataFrame:
@@ -417,36 +468,47 @@ def _column_bounds(p: TablePair, df: DataFrame, columns: Sequence[str], side: st
     )
 
 
+RANGE_COLUMNS = "table_name string, date_column string, side string, min_date timestamp_ntz, max_date timestamp_ntz"
+
+
 def date_ranges(pairs: Sequence[TablePair], columns: dict[str, Sequence[str]]) -> DataFrame:
     """First and last value of every date column on both sides.
 
-    One pass per table side, whatever the number of its date columns.
+    One pass per table side, whatever the number of its date columns. Every column asked for is a row;
+    a side that cannot be read or lacks the column has NULLs there, and the two sides then match
+    only if both were read and hold no date.
     """
+    spark = SparkSession.active()
+    asked = [(p.table_name, c) for p in pairs for c in columns.get(p.table_name, ())]
+    listed = _literal_rows(spark, asked, "table_name string, date_column string")
+
+    def held(df: DataFrame, names: Sequence[str]) -> list[str]:
+        there = {c.lower() for c in df.columns}
+        return [c for c in names if c.lower() in there]
+
     parts = [
-        _column_bounds(p, df, columns[p.table_name], side)
+        _column_bounds(p, df, held(df, columns[p.table_name]), side)
         for p in pairs
         for side, df in (("source", p.source), ("target", p.target))
-        if df is not None and columns.get(p.table_name)
+        if df is not None and held(df, columns.get(p.table_name, ()))
     ]
+    found = stack([*parts, spark.createDataFrame([], RANGE_COLUMNS)])
     side = F.col("side")
 
     def pick(name: str, which: str) -> Column:
         return F.max(F.when(side == which, F.col(name))).alias(f"{which}_{name}")
 
-    ranges = (
-        stack(parts)
-        .groupBy("table_name", "date_column")
-        .agg(
-            pick("min_date", "source"),
-            pick("max_date", "source"),
-            pick("min_date", "target"),
-            pick("max_date", "target"),
-        )
+    ranges = found.unionByName(listed, allowMissingColumns=True).groupBy("table_name", "date_column").agg(
+        pick("min_date", "source"),
+        pick("max_date", "source"),
+        pick("min_date", "target"),
+        pick("max_date", "target"),
+        F.count_distinct("side").alias("sides"),
     )
     same = F.col("source_min_date").eqNullSafe(F.col("target_min_date")) & F.col(
         "source_max_date"
     ).eqNullSafe(F.col("target_max_date"))
-    return ranges.withColumn("is_matching", same)
+    return ranges.withColumn("is_matching", same & (F.col("sides") == 2)).drop("sides")
 
 
 def estimate_vs_catalog(estimates: DataFrame, catalog_counts: DataFrame) -> DataFrame:

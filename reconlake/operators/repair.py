@@ -2,12 +2,13 @@
 
 Only columns that the sheet declares ``date`` or ``timestamp`` are looked at. What a column
 holds is decided from one aggregate over all candidate columns, not from a single sample row:
-the digit count or text form that most of its values have. The repair itself is one projection.
+the digit count or text form that most of its values have. The repair itself is one projection, which
+reads each value only if it has that form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,29 +23,88 @@ _INTEGERS = (T.IntegerType, T.LongType)
 
 @dataclass(frozen=True)
 class Decision:
-    """What a column was found to hold: values in all, values of that form, the form."""
+    """What a column was found to hold: values in all, values of that form, values it can be read from."""
 
     column: str
     declared: str
     kind: str
     values: int
     matching: int
+    readable: int = 0
+
+
+@dataclass(frozen=True)
+class Form:
+    """A way to write a date: which values show it, and what such a value says.
+
+    ``also`` widens what is read once a column has the form: epochs before 2001 have a digit less.
+    """
+
+    kind: str
+    fits: Callable[[Column], Column]
+    read: Callable[[Column], Column]
+    also: Callable[[Column], Column] | None = None
+
+    def accepts(self, c: Column) -> Column:
+        return (self.also or self.fits)(c)
+
+
+def _digits(*n: int) -> Callable[[Column], Column]:
+    return lambda c: dates.digits_of(c).isin(*n)
+
+
+def _all_digits(n: int) -> Callable[[Column], Column]:
+    return lambda c: c.rlike(rf"^\d{{{n}}}$")
+
+
+def _in_days(c: Column) -> Column:
+    return (c > -dates.EPOCH_DAY_LIMIT) & (c < dates.EPOCH_DAY_LIMIT)
+
+
+def _compact(c: Column) -> Column:
+    return F.try_to_timestamp(c.cast("string"), F.lit("yyyyMMddHHmmss"))
+
+
+def _compact_day(c: Column) -> Column:
+    return F.try_to_timestamp(c.cast("string"), F.lit("yyyyMMdd"))
+
+
+_TEXT_FORMS = (
+    Form("timestamp_text", lambda c: c.rlike(dates.TIMESTAMP_PATTERN), dates.from_timestamp_text),
+    Form("time_text", lambda c: c.rlike(dates.TIME_PATTERN), dates.from_time_text),
+)
+_INTEGER_FORMS = (
+    Form("epoch_seconds", _digits(10), dates.from_epoch_seconds, _digits(9, 10)),
+    Form("epoch_millis", _digits(13), dates.from_epoch_millis, _digits(12, 13)),
+    Form("yyyymmdd", _digits(8), dates.from_yyyymmdd),
+)
+_DAY_FORM = Form("epoch_days", _in_days, dates.from_epoch_days)
+
+# Forms that may stand side by side in one column; the first that fits decides. All are told
+# apart by their digits, but for day numbers, which stop at 36,500.
+_MIXED_TEXT = (
+    _TEXT_FORMS[0],
+    Form("compact", _all_digits(14), _compact),
+    Form("epoch_millis", _all_digits(13), lambda c: dates.from_epoch_millis(c.try_cast("bigint"))),
+    Form("epoch_seconds", _all_digits(10), lambda c: dates.from_epoch_seconds(c.try_cast("bigint"))),
+    Form("yyyymmdd", _all_digits(8), _compact_day),
+)
+_MIXED_INTEGER = (
+    *_INTEGER_FORMS[:2],
+    Form("compact", _digits(14), _compact),
+    Form("epoch_days", lambda c: c.between(0, 36500), dates.from_epoch_days),
+    Form("yyyymmdd", _digits(8), _compact_day),
+)
+_READERS = {form.kind: form for form in (*_TEXT_FORMS, *_INTEGER_FORMS, _DAY_FORM)}
 
 
 def _text_forms(c: Column) -> dict[str, Column]:
-    return {
-        "timestamp_text": c.rlike(dates.TIMESTAMP_PATTERN),
-        "time_text": c.rlike(dates.TIME_PATTERN),
-    }
+    return {form.kind: form.fits(c) for form in _TEXT_FORMS}
 
 
 def _integer_forms(c: Column, declared: str) -> dict[str, Column]:
-    size = dates.digits_of(c)
-    forms = {"epoch_seconds": size == 10, "epoch_millis": size == 13, "yyyymmdd": size == 8}
-    if declared == "date":
-        limit = dates.EPOCH_DAY_LIMIT
-        forms["epoch_days"] = (c > -limit) & (c < limit)
-    return forms
+    forms = (*_INTEGER_FORMS, _DAY_FORM) if declared == "date" else _INTEGER_FORMS
+    return {form.kind: form.fits(c) for form in forms}
 
 
 def _forms(field: T.StructField, declared: str) -> dict[str, Column]:
@@ -69,6 +129,10 @@ def profile(df: DataFrame, declared: Mapping[str, str]) -> list[Decision]:
     for i, (f, _, forms) in enumerate(candidates):
         counters.append(F.count(col(f.name)).alias(f"n{i}"))
         counters += [F.count_if(test).alias(f"n{i}_{kind}") for kind, test in forms.items()]
+        # a value is readable if its text says a day, not only if it has the digits
+        counters += [
+            F.count(repaired_column(col(f.name), kind, "timestamp")).alias(f"r{i}_{kind}") for kind in forms
+        ]
     found = df.agg(*counters).first()
     out = []
     for i, (f, kind_declared, forms) in enumerate(candidates):
@@ -80,26 +144,27 @@ def profile(df: DataFrame, declared: Mapping[str, str]) -> list[Decision]:
         best = max(forms, key=lambda k: found[f"n{i}_{k}"])
         matching = found[f"n{i}_{best}"]
         kind = best if matching * 2 > total else "as_is"
-        out.append(Decision(f.name, kind_declared, kind, total, matching))
+        readable = total if kind == "as_is" else found[f"r{i}_{kind}"]
+        out.append(Decision(f.name, kind_declared, kind, total, matching, readable))
     return out
 
 
 def repaired_column(c: Column, kind: str, declared: str) -> Column:
-    if kind == "timestamp_text":
-        return dates.from_timestamp_text(c)
-    if kind == "time_text":
-        return dates.from_time_text(c)
-    if kind == "epoch_seconds":
-        return dates.from_epoch_seconds(c)
-    if kind == "epoch_millis":
-        return dates.from_epoch_millis(c)
-    if kind == "yyyymmdd":
-        return dates.from_yyyymmdd(c)
-    if kind == "epoch_days":
-        return dates.from_epoch_days(c)
+    """Each value by its own test: one that does not have the form becomes NULL.
+
+    How many that are is in the decision. Text of a timestamp stays a timestamp in a column that is
+    declared a date.
+    """
     if kind == "all_null":
         return F.lit(None).cast(declared)
-    return c
+    form = _READERS.get(kind)
+    return c if form is None else F.when(form.accepts(c), form.read(c))
+
+
+def misfits(decisions: list[Decision]) -> dict[str, int]:
+    """Values per repaired column that do not have the form of the others."""
+    found = {d.column: d.values - d.readable for d in decisions if d.kind in _READERS}
+    return {name: n for name, n in found.items() if n}
 
 
 def apply_decisions(df: DataFrame, decisions: list[Decision]) -> DataFrame:
@@ -115,9 +180,21 @@ def apply_decisions(df: DataFrame, decisions: list[Decision]) -> DataFrame:
     return df.select(*out)
 
 
-def repair(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
-    """Profile, then repair. ``declared`` maps column names to ``date`` or ``timestamp``."""
-    return apply_decisions(df, profile(df, declared))
+def repair(df: DataFrame, declared: Mapping[str, str], strict: bool = False) -> DataFrame:
+    """Profile, then repair. ``declared`` maps column names to ``date`` or ``timestamp``.
+
+    ``strict`` refuses columns in which some values do not have the form of the others.
+    """
+    decisions = profile(df, declared)
+    if strict and misfits(decisions):
+        raise ValueError(f"values that do not fit: {misfits(decisions)}")
+    return apply_decisions(df, decisions)
+
+
+def mixed_column(c: Column, kind: T.DataType) -> Column:
+    """Value-by-value reading of text or integers; NULL where no form fits."""
+    forms = _MIXED_TEXT if isinstance(kind, T.StringType) else _MIXED_INTEGER
+    return F.coalesce(*[F.when(f.fits(c), f.read(c).cast("timestamp")) for f in forms])
 
 
 def repair_mixed(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
@@ -126,7 +203,7 @@ def repair_mixed(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     for f in df.schema.fields:
         c = col(f.name)
         if f.name in declared and isinstance(f.dataType, (T.StringType, *_INTEGERS)):
-            c = dates.from_mixed(c, f.dataType)
+            c = mixed_column(c, f.dataType)
         out.append(c.alias(f.name))
     return df.select(*out)
 

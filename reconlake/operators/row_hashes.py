@@ -120,7 +120,7 @@ def reconcile_hashes(
         [
             (
                 p.table_name,
-                "; ".join(e[:200] for e in (p.source_error, p.target_error) if e) or None,
+                "; ".join(e for e in (p.source_error, p.target_error) if e) or None,
                 readable_pair(p),
             )
             for p in pairs

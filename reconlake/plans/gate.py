@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reconlake.errors import ENGINE_ERRORS
 from reconlake.operators import counts as C
 from reconlake.operators import lineage as L
 from reconlake.operators.discovery import date_profile
 from reconlake.operators.rollups import count_check
+from reconlake.plans.reports import in_batches
+from reconlake.session import scratch_path
 from reconlake.sources.catalog import Reader, open_pairs
 
 READY = "ready"
@@ -45,77 +47,152 @@ def total_verdicts(totals: DataFrame) -> DataFrame:
     )
 
 
+_VERDICT = (
+    "table_name string, has_date boolean, source_days bigint, target_days bigint, common_days bigint, "
+    "bad_days bigint, bad_totals bigint, note string"
+)
+
+
+def _with_note(verdicts: DataFrame) -> DataFrame:
+    if "note" in verdicts.columns:
+        return verdicts
+    return verdicts.withColumn("note", F.lit(None).cast("string"))
+
+
+def table_reasons(verdicts: DataFrame, start_date: str) -> DataFrame:
+    """table_name, has_date, reason: whether each table was compared and agrees.
+
+    A table that could not be compared says so; only one that was compared and is equal is ready.
+    """
+    none_since = F.col("note").startswith("not_data_found")
+    dated = F.col("has_date")
+    reason = (
+        F.when(F.col("note").isNotNull() & ~none_since, "table not compared")
+        .when(none_since | (dated & (F.col("source_days") == 0)), f"no source data since {start_date}")
+        .when(dated & (F.col("target_days") == 0), f"no target data since {start_date}")
+        .when(dated & (F.col("common_days") == 0), "no common day in source and target")
+        .when((F.col("bad_days") > 0) | (F.col("bad_totals") > 0), "counts differ")
+        .otherwise(READY)
+    )
+    return _with_note(verdicts).select("table_name", "has_date", reason.alias("reason"))
+
+
+def _in_order(start_date: str) -> list[str]:
+    """The reasons of a table, from the one that a script reports first to the last."""
+    return [
+        "table not found",
+        "table not compared",
+        f"no source data since {start_date}",
+        f"no target data since {start_date}",
+        "no common day in source and target",
+        "counts differ",
+        READY,
+    ]
+
+
 def decide(
     lineage: DataFrame, verdicts: DataFrame, start_date: str, require_date_column: bool = False
 ) -> DataFrame:
     """One row per script: file_path, total_tables, dated_tables, ready, reason.
 
-    A script is ready when each day of all its date tables agrees and the totals of its other
-    tables agree. ``require_date_column`` rejects scripts that use dateless tables only. The
-    verdicts have one row per table, so the join cannot multiply anything.
+    A script is ready when every table it reads was compared and is equal by itself: each day of a
+    date table, the total of another. Otherwise it gives the first reason among its tables.
+    ``require_date_column`` rejects scripts that use dateless tables only. The verdicts have one
+    row per table, so the join cannot multiply anything.
     """
     used = lineage.select("file_path", F.explode_outer("source_table_names").alias("table_name"))
-
-    def total(name: str):
-        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
-
-    known = F.col("has_date").isNotNull()
+    order = _in_order(start_date)
+    reason = F.coalesce("reason", F.lit("table not found"))
+    rank: Column = F.array_position(F.array(*map(F.lit, order)), reason)
+    named = F.col("table_name").isNotNull()
     per_script = (
-        used.join(verdicts, "table_name", "left")
+        used.join(table_reasons(verdicts, start_date), "table_name", "left")
         .groupBy("file_path")
         .agg(
             F.count("table_name").alias("total_tables"),
-            F.count_if(F.col("table_name").isNotNull() & ~known).alias("unknown_tables"),
             F.count_if(F.col("has_date")).alias("dated_tables"),
-            *[total(n) for n in ("source_days", "target_days", "common_days", "bad_days", "bad_totals")],
+            F.min(F.when(named, rank)).cast("int").alias("first_reason"),
         )
     )
-    dated = F.col("dated_tables") > 0
-    reason = (
+    result = (
         F.when(F.col("total_tables") == 0, "no source table in script")
-        .when(F.col("unknown_tables") > 0, "table not found")
-        .when(F.lit(require_date_column) & ~dated, "no date column")
-        .when(dated & (F.col("source_days") == 0), f"no source data since {start_date}")
-        .when(dated & (F.col("target_days") == 0), f"no target data since {start_date}")
-        .when(dated & (F.col("common_days") == 0), "no common day in source and target")
-        .when((F.col("bad_days") > 0) | (F.col("bad_totals") > 0), "counts differ")
-        .otherwise(READY)
+        .when(F.col("first_reason") == 1, order[0])
+        .when(F.lit(require_date_column) & (F.col("dated_tables") == 0), "no date column")
+        .otherwise(F.get(F.array(*map(F.lit, order)), F.col("first_reason") - 1))
     )
     return per_script.select(
         "file_path",
         "total_tables",
         "dated_tables",
-        (reason == READY).alias("ready"),
-        reason.alias("reason"),
+        (result == READY).alias("ready"),
+        result.alias("reason"),
     )
 
 
-def check_scripts(
+def _compared(spark: SparkSession, pairs: Sequence[C.TablePair], start_date: str) -> DataFrame:
+    """One verdict per table, each with a note if it could not be compared."""
+    pairs = [C.checked_columns(p) for p in pairs]
+    readable = [p for p in pairs if C.readable_pair(p)]
+    dated = [p for p in readable if p.date_column]
+    parts = [spark.createDataFrame([], _VERDICT)]
+    if dated:
+        days = C.reconcile_days(spark, dated, start_date).select(
+            F.col("target_table_name").alias("table_name"),
+            F.coalesce("source_count", F.lit(0)).alias("source_count"),
+            F.coalesce("target_count", F.lit(0)).alias("target_count"),
+            F.when(F.col("dpDay").isNull(), F.col("validation_status")).alias("note"),
+        )
+        notes = days.groupBy("table_name").agg(F.max("note").alias("note"))
+        undated = C.undated_rows(spark, dated).select(
+            "table_name", (~F.col("is_matching")).cast("bigint").alias("bad_undated")
+        )
+        verdicts = day_verdicts(days.drop("note")).join(notes, "table_name").join(undated, "table_name")
+        parts.append(
+            verdicts.withColumn("bad_totals", F.col("bad_totals") + F.col("bad_undated")).drop(
+                "bad_undated"
+            )
+        )
+    dateless = [p for p in readable if not p.date_column]
+    if dateless:
+        totals = C.reconcile_totals(spark, dateless).select(
+            F.col("source_table").alias("table_name"),
+            "source_count",
+            F.col("catalog_count").alias("target_count"),
+        )
+        parts.append(_with_note(total_verdicts(totals)))
+    missing = [
+        (p.table_name, bool(p.date_column), 0, 0, 0, 0, 0, f"ERROR: {p.source_error or p.target_error}")
+        for p in pairs
+        if not C.readable_pair(p)
+    ]
+    parts.append(spark.createDataFrame(missing, _VERDICT))
+    return C.stack(parts)
+
+
+def corpus_verdicts(
     spark: SparkSession,
-    scripts: DataFrame,
+    lineage: DataFrame,
     sheet: DataFrame,
     read_source: Reader,
     read_target: Reader,
     start_date: str,
-    require_date_column: bool = False,
+    tables_per_plan: int = 100,
 ) -> DataFrame:
-    """Decisions for a script corpus against two catalogs, as one plan over all tables.
+    """Verdicts of all tables that the scripts read, staged in plans of bounded size.
 
-    The distinct table names are brought to the driver, because each one has to be opened
-    there; their number is that of the catalog's tables, not of rows or scripts.
+    Names that the sheet does not list are not opened: a pattern may take them from a comment. The
+    others are brought to the driver, because each one has to be opened there; their number is
+    that of the catalog's tables, not of rows or scripts. A table whose comparison fails
+    while running is a verdict with a note, and the others go on.
     """
-    lineage = L.script_lineage(scripts)
+    listed = date_profile(sheet).select(
+        F.concat_ws(".", "schema_name", "table_name").alias("table_name"),
+        F.try_element_at("date_columns", F.lit(1)).alias("date_column"),
+    )
     names = (
         L.corpus_tables(lineage)
         .filter("role = 'source'")
-        .join(
-            date_profile(sheet).select(
-                F.concat_ws(".", "schema_name", "table_name").alias("table_name"),
-                F.try_element_at("date_columns", F.lit(1)).alias("date_column"),
-            ),
-            "table_name",
-            "left",
-        )
+        .join(listed, "table_name")
         .select("table_name", "date_column")
         .collect()
     )
@@ -125,44 +202,49 @@ def check_scripts(
         read_target,
         {r.table_name: r.date_column for r in names},
     )
-    readable = [p for p in pairs if p.source is not None and p.target is not None]
-    dated = [p for p in readable if p.date_column]
-    dateless = [p for p in readable if not p.date_column]
-    parts = []
-    if dated:
-        days = C.reconcile_days(spark, dated, start_date).select(
-            F.col("target_table_name").alias("table_name"),
-            F.coalesce("source_count", F.lit(0)).alias("source_count"),
-            F.coalesce("target_count", F.lit(0)).alias("target_count"),
-        )
-        parts.append(day_verdicts(days))
-    if dateless:
-        totals = C.reconcile_totals(spark, dateless).select(
-            F.col("source_table").alias("table_name"),
-            "source_count",
-            F.col("catalog_count").alias("target_count"),
-        )
-        parts.append(total_verdicts(totals))
-    if not parts:
-        empty = "table_name string, source_count bigint, target_count bigint"
-        parts.append(total_verdicts(spark.createDataFrame([], empty)))
-    return decide(lineage, C.stack(parts), start_date, require_date_column)
+    staged = scratch_path(spark, "verdicts")
+    spark.createDataFrame([], _VERDICT).write.parquet(staged)
+    in_batches(
+        pairs,
+        lambda part: _compared(spark, part, start_date),
+        lambda df: df.write.mode("append").parquet(staged),
+        tables_per_plan,
+    )
+    return spark.read.schema(_VERDICT).parquet(staged)
+
+
+def check_scripts(
+    spark: SparkSession,
+    scripts: DataFrame,
+    sheet: DataFrame,
+    read_source: Reader,
+    read_target: Reader,
+    start_date: str,
+    require_date_column: bool = False,
+) -> DataFrame:
+    """Decisions for a script corpus against two catalogs; see :func:`corpus_verdicts`."""
+    lineage = L.script_lineage(scripts)
+    verdicts = corpus_verdicts(spark, lineage, sheet, read_source, read_target, start_date)
+    return decide(lineage, verdicts, start_date, require_date_column)
 
 
 def run_scripts(spark: SparkSession, scripts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Run the statements of ready scripts in order; one result row per statement.
 
     The statements are streamed to the driver one by one, which is where SQL is submitted.
-    A statement that fails is a row with its error, and the next one runs.
+    A statement that fails is a row with its error, and the next one runs. A query is run to its
+    end, without keeping its result.
     """
     ready = decisions.filter("ready").select("file_path")
     todo = L.statements(scripts.join(ready, "file_path", "left_semi")).orderBy("file_path", "position")
     rows = []
     for s in todo.toLocalIterator():
         try:
-            spark.sql(s.query)
+            result = spark.sql(s.query)
+            if result.columns:
+                result.write.format("noop").mode("overwrite").save()
             rows.append((s.file_path, s.file_name, s.position, s.query, "Success", None))
-        except PySparkException as e:
+        except ENGINE_ERRORS as e:
             rows.append((s.file_path, s.file_name, s.position, s.query, "Failed", str(e)))
     return spark.createDataFrame(
         rows,

@@ -5,17 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from reconlake.errors import ENGINE_ERRORS
 from reconlake.functions import dates, status
 from reconlake.operators import audit
 from reconlake.operators.incremental import incremental_rows
-from reconlake.operators.repair import repair
+from reconlake.operators.repair import apply_decisions, misfits, profile
 from reconlake.operators.schema_guard import frame_differences
-from reconlake.session import scratch_path
+from reconlake.session import discard, scratch_path
 from reconlake.sinks import tables as sink
 
 
@@ -26,6 +26,7 @@ class LoadResult:
     source_rows: int = 0
     target_rows: int = 0
     error: str | None = None
+    misfits: Mapping[str, int] = field(default_factory=dict)
 
 
 def now() -> dt.datetime:
@@ -43,13 +44,19 @@ def verify_counts(table: str, source_rows: int, target_rows: int) -> LoadResult:
     )
 
 
-def full_load(df: DataFrame, table: str) -> LoadResult:
-    """Create the table when missing, replace its rows, compare counts."""
+def full_load(df: DataFrame, table: str, source_rows: int | None = None) -> LoadResult:
+    """Create the table when missing, replace its rows, compare counts.
+
+    The source is counted by a scan of its own, or apart by the caller (``source_rows``); what was
+    written is no evidence. A source read with ``tolerant=True`` has to be counted apart, or its
+    skipped files reported by :func:`reconlake.sources.files.skipped_files`.
+    """
     spark = df.sparkSession
+    expected = df.count() if source_rows is None else source_rows
     if not spark.catalog.tableExists(table):
         sink.create_empty(df, table)
-    written = sink.overwrite_counted(df, table)
-    return verify_counts(table, written, spark.table(table).count())
+    sink.overwrite_counted(df, table)
+    return verify_counts(table, expected, spark.table(table).count())
 
 
 def schema_conflicts(df: DataFrame, table: str) -> list[str]:
@@ -70,24 +77,40 @@ def guarded_load(
     table: str,
     declared: Mapping[str, str] | None = None,
     zone: str | None = "Asia/Kolkata",
+    source_rows: int | None = None,
 ) -> LoadResult:
     """Repair dates, move timestamps to UTC, check the schema, replace the rows, compare counts.
 
-    On a schema conflict the table is left as it is.
+    On a schema conflict the table is left as it is. Values that have not the form of their column are
+    NULL in the table; the result counts them per column and is then no success.
     """
     spark = df.sparkSession
-    ready = repair(df, declared or {})
+    expected = df.count() if source_rows is None else source_rows
+    decisions = profile(df, declared or {})
+    ready = apply_decisions(df, decisions)
     if zone:
         ready = dates.to_utc(ready, zone)
     if spark.catalog.tableExists(table):
         conflicts = schema_conflicts(ready, table)
         if conflicts:
             return LoadResult(table, "COPY_FAILURE", error="\n".join(conflicts))
-        written = sink.replace_staged(ready, table, scratch_path(spark, "load"))
+        staging = scratch_path(spark, "load")
+        sink.replace_staged(ready, table, staging)
+        discard(spark, staging)
     else:
         sink.create_empty(ready, table)
-        written = sink.append_counted(ready, table)
-    return verify_counts(table, written, spark.table(table).count())
+        sink.append_counted(ready, table)
+    result = verify_counts(table, expected, spark.table(table).count())
+    lost = misfits(decisions)
+    if lost:
+        text = ", ".join(f"{n} values of {name} do not fit" for name, n in sorted(lost.items()))
+        result = replace(
+            result,
+            status=status.VALIDATION_FAILED,
+            error="; ".join(filter(None, [result.error, text])),
+            misfits=lost,
+        )
+    return result
 
 
 def incremental_load(
@@ -132,7 +155,7 @@ def copy_tables(
             n_source, n_target = df.count(), spark.table(target).count()
             outcome = "SUCCESS" if n_source == n_target else "COUNT_MISMATCH"
             rows.append((name, source, target, outcome, n_source, n_target, None, start, now()))
-        except PySparkException as e:
+        except ENGINE_ERRORS as e:
             rows.append((name, source, target, "FAILED", None, None, str(e), start, now()))
     return audit.migration_log(spark, rows)
 
@@ -146,7 +169,10 @@ def audited(
     path: str | None = None,
     partition_columns: str | None = None,
 ) -> LoadResult:
-    """Run one load between two audit events, unless its latest status means done."""
+    """Run one load between two audit events, unless its latest status means done.
+
+    Whatever the work raises, the end event is written; errors that are not the engine's go on.
+    """
     if spark.catalog.tableExists(log_table):
         task = spark.createDataFrame([(table,)], "table_name string")
         if audit.pending(task, spark.table(log_table), skip_statuses).isEmpty():
@@ -154,10 +180,12 @@ def audited(
     run, start = uuid.uuid4().hex, now()
     first = audit.events(spark, [audit.started(run, table, start, path, partition_columns)])
     first.write.mode("append").saveAsTable(log_table)
+    unknown: BaseException | None = None
     try:
         result = work()
-    except (PySparkException, ValueError) as e:
-        result = LoadResult(table, audit.ERROR, error=str(e))
+    except BaseException as e:
+        unknown = None if isinstance(e, (*ENGINE_ERRORS, ValueError)) else e
+        result = LoadResult(table, audit.ERROR, error=str(e) or type(e).__name__)
     good = result.status in (audit.SUCCESS, status.VALIDATION_SUCCESS)
     final = audit.SUCCESS if good else result.status
     if result.status in (status.VALIDATION_FAILED, "COPY_FAILURE"):
@@ -166,6 +194,8 @@ def audited(
         run, table, start, now(), final, result.target_rows, result.error, path, partition_columns
     )
     audit.events(spark, [last]).write.mode("append").saveAsTable(log_table)
+    if unknown is not None:
+        raise unknown
     return result
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
+from reconlake.errors import ENGINE_ERRORS
 from reconlake.operators.counts import TablePair
 
 Report = Callable[[Sequence[TablePair]], DataFrame]
@@ -26,19 +26,31 @@ def write_report(
     halved until the table at fault stands alone; that one is reported as unreadable
     and the others as usual.
     """
+    in_batches(pairs, report, lambda df: df.write.mode("append").saveAsTable(table), tables_per_plan)
+
+
+def in_batches(
+    pairs: Sequence[TablePair],
+    report: Report,
+    write: Callable[[DataFrame], None],
+    tables_per_plan: int = 100,
+) -> None:
+    """The same with any way of writing."""
     for i in range(0, len(pairs), tables_per_plan):
-        _append(pairs[i : i + tables_per_plan], report, table)
+        _one_batch(pairs[i : i + tables_per_plan], report, write)
 
 
-def _append(part: Sequence[TablePair], report: Report, table: str) -> None:
+def _one_batch(
+    part: Sequence[TablePair], report: Report, write: Callable[[DataFrame], None]
+) -> None:
     try:
-        report(part).write.mode("append").saveAsTable(table)
-    except PySparkException as e:
+        write(report(part))
+    except ENGINE_ERRORS as e:
         if len(part) > 1:
             half = len(part) // 2
-            _append(part[:half], report, table)
-            _append(part[half:], report, table)
+            _one_batch(part[:half], report, write)
+            _one_batch(part[half:], report, write)
         elif part[0].source is not None:
-            _append([unreadable(part[0], str(e))], report, table)
+            _one_batch([unreadable(part[0], str(e))], report, write)
         else:
             raise

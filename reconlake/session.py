@@ -23,6 +23,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+# the setting itself belongs to the core and cannot be set in a running session
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
@@ -36,9 +40,19 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="reconlake-scratch-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="reconlake-scratch-")
+    return _LOCAL_ROOTS[application]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_path` named; nothing else is ever deleted."""
+    root = scratch_root(spark)
+    if not path.startswith(f"{root}/") or ".." in path:
+        raise ValueError(f"{path} is not below {root}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

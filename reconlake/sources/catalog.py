@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from reconlake.errors import ENGINE_ERRORS
 from reconlake.operators.counts import TablePair
 
 Reader = Callable[[str], DataFrame]
@@ -27,7 +27,7 @@ def open_or_error(read: Reader, name: str) -> DataFrame | str:
         df = read(name)
         df.schema  # resolves the table now
         return df
-    except PySparkException as e:
+    except ENGINE_ERRORS as e:
         return str(e)
 
 

@@ -22,9 +22,9 @@ def parquet(
 ) -> DataFrame:
     """One or many Parquet folders as one relation.
 
-    ``tolerant`` skips files that are corrupt or vanish, which loses their rows silently; the
-    count checks after a load are what finds that out. Give it a schema, since the file whose
-    footer would be asked for one may be a corrupt one.
+    ``tolerant`` skips files that are corrupt or vanish, which loses their rows silently:
+    :func:`skipped_files` names them, and a load needs a source count from elsewhere. Give it a
+    schema, since the file whose footer would be asked for one may be a corrupt one.
     """
     reader = spark.read
     if tolerant:
@@ -34,6 +34,31 @@ def parquet(
     return reader.parquet(*paths)
 
 
+def skipped_files(
+    spark: SparkSession, *paths: str, schema: str | T.StructType | None = None
+) -> DataFrame:
+    """The Parquet files below the paths from which a tolerant read gets no row: file_path.
+
+    Listing reads no content, and reading the rows no column. A file that really has no rows is
+    listed too.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(list(paths))
+        .select(F.col("path").alias("file_path"))
+    )
+    read = parquet(spark, *paths, tolerant=True, schema=schema)
+    seen = read.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+    name = F.regexp_replace("file_path", "^[a-z]+:/+", "/")
+    return (
+        listed.withColumn("name", name)
+        .join(seen.select(name.alias("name")), "name", "left_anti")
+        .select("file_path")
+    )
+
+
 def control_sheet(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """CSV with a header and an explicit schema; read by Spark, without inference."""
     return spark.read.schema(schema).option("escape", '"').csv(path, header=True)
