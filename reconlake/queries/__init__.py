@@ -40,4 +40,5 @@ def load_all() -> None:
         reconciliation,
         repairs,
         scripts,
+        soundness,
     )
