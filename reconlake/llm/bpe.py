@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +24,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Entries of a lookup table before its unused half is dropped, and the longest piece it holds.
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 300_000
 LONGEST_PIECE = 64
 
 _PRE_TOKEN = regex.compile(PRE_TOKEN)
@@ -41,6 +43,8 @@ def byte_alphabet() -> list[str]:
 
 
 _STAND_INS = dict(enumerate(byte_alphabet()))
+_SPACE_STAND_IN = _STAND_INS[0x20]
+_LAST_MARKS = frozenset(".,;:!?")
 
 
 def spelled(piece: str) -> str:
@@ -101,7 +105,7 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(text, whole, special, by_pre_token)
 
 
-class _Recent(dict):
+class RecentTable(dict):
     """A bounded lookup table; when it is full, what was not used since the last time is dropped."""
 
     def __init__(self, compute, entries: int = TABLE_ENTRIES):
@@ -136,9 +140,9 @@ class PieceEncoder:
         self.whole, self.by_pre_token = vocabulary.whole, vocabulary.by_pre_token
         self.special = re.compile("|".join(map(re.escape, vocabulary.special)) or r"(?!)")
         self.value, self.total = value, total
-        self.pre_tokens = _Recent(self._pre_token)
-        self.after_space = _Recent(lambda piece: self._piece(" " + piece))
-        self.at_start = _Recent(self._piece)
+        self.pre_tokens = RecentTable(self._pre_token)
+        self.after_space = RecentTable(self._after_space)
+        self.at_start = RecentTable(self._piece)
         self.agreed: dict[str, bool] = {}
 
     def _pre_token(self, pre_token: str):
@@ -147,8 +151,27 @@ class PieceEncoder:
             return self.value([known])
         return self.value([t.id for t in self.merge(spelled(pre_token))])
 
+    def _after_space(self, piece: str):
+        """The value of a space and what follows it."""
+        if piece.isalpha():
+            # letters are one pre-token
+            known = self.whole.get(" " + piece)
+            if known is not None:
+                return self.value([known])
+            name = _SPACE_STAND_IN + piece if piece.isascii() else spelled(" " + piece)
+            return self.value([t.id for t in self.merge(name)])
+        if piece[-1:] in _LAST_MARKS and piece[:-1].isalpha():
+            # so are letters before a mark, and the mark
+            return self.total((self.after_space[piece[:-1]], self.pre_tokens[piece[-1]]))
+        return self._piece(" " + piece)
+
     def _piece(self, piece: str):
-        return self.total(map(self.pre_tokens.__getitem__, _PRE_TOKEN.findall(piece)))
+        return self.total(
+            [
+                self.after_space[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pre_tokens[p]
+                for p in _PRE_TOKEN.findall(piece)
+            ]
+        )
 
     def _agree(self, char: str) -> bool:
         found = self.agreed.get(char)
@@ -197,4 +220,12 @@ def counting_encoder(vocabulary: Vocabulary) -> PieceEncoder:
 
 def id_encoder(vocabulary: Vocabulary, dtype: str) -> PieceEncoder:
     """Encodes to the little-endian bytes of the ids."""
-    return _encoder(vocabulary, dtype, lambda ids: np.array(ids, dtype).tobytes(), b"".join)
+    return _encoder(vocabulary, dtype, id_bytes(dtype), b"".join)
+
+
+def id_bytes(dtype: str):
+    """A function from ids to their little-endian bytes."""
+    code = "H" if dtype == "<u2" else "I"
+    if sys.byteorder == "little" and array(code).itemsize == int(dtype[-1]):
+        return lambda ids: array(code, ids).tobytes()
+    return lambda ids: np.array(ids, dtype).tobytes()

@@ -111,9 +111,7 @@ def write_tokens(
     vocabulary = bpe.load_vocabulary(tokenizer_path)
     dtype = _id_type(vocabulary, end_id)
     named = _named(docs, text, id_column)
-    encode = bpe.PieceEncoder(
-        vocabulary, lambda ids: np.array(ids, dtype).tobytes(), b"".join
-    ).encode
+    encode = bpe.PieceEncoder(vocabulary, bpe.id_bytes(dtype), b"".join).encode
     dictionary = _dictionary([encode(t) for t in _sample(named)])
     digest = hashlib.sha256(dictionary).hexdigest()
     head = [(digest, bytearray(dictionary), int(dtype[-1]), end_id)]
