@@ -8,9 +8,8 @@ Two streams, both resumable from their checkpoints in the shared folder:
    retains the number of rows and the identifier and locator of the row that stays.
 
 New files continue both streams. Partial aggregation before the shuffle leaves one row per digest and
-task, so a text that a third of all rows share is no hot key. Afterwards the full bytes of every row
-whose digest was hit are compared with those of the row that stays; should they differ, the digest's
-rows are grouped by their bytes instead. Only DataFrame functions are used.
+task, so a text that a third of all rows share is no hot key. Afterwards the full bytes of all rows whose
+digest was hit are compared; should they differ, the digest's rows are grouped by their bytes instead. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -26,7 +25,13 @@ from reconlake.session import scratch_path
 
 _SPACE = " \t\n\x0b\x0c\r"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SETTINGS = {
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # many small stores: reserve no disk in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+#: Bits that mark the rows whose bytes are compared, at most.
+MOST_BITS = 1 << 28
 
 
 def normalised(text: Column) -> Column:
@@ -38,6 +43,10 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
+def _row_hash() -> Column:
+    return F.xxhash64("file", "row")
+
+
 def _as_pattern(path: str) -> str:
     """The same path as a pattern: a file stream takes a single file only in that form."""
     path = path.rstrip("/")
@@ -46,12 +55,14 @@ def _as_pattern(path: str) -> str:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS_DB)
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
     try:
+        for key, value in _SETTINGS.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 class ExactDedup:
@@ -136,39 +147,60 @@ class ExactDedup:
         )
 
     def _hits(self) -> DataFrame:
-        """Rows of digests that more than one row has, with their locator and that of the row that stays."""
-        repeated = self.state().where("n > 1")
-        return self.rows().join(repeated, "digest").select(
-            "digest", F.col("file").alias("h_file"), F.col("row").alias("h_row"), "stays"
-        )
+        """Bits of the rows whose digest more than one row has: bucket and a bitmap of 32,768 bits.
+
+        The number of bits follows the number of hits up to MOST_BITS (32 MB), which bounds the broadcast.
+        """
+        repeated = self.rows().join(self.state().where("n > 1").select("digest"), "digest", "left_semi")
+        repeated.select(_row_hash().alias("h")).write.parquet(f"{self.at}/hits")
+        hits = self.spark.read.schema("h long").parquet(f"{self.at}/hits")
+        bits, wanted = 1 << 15, 64 * hits.count()
+        while bits < min(wanted, MOST_BITS):
+            bits *= 2
+        self.bits = bits
+        place = F.col("h").bitwiseAND(F.lit(bits - 1))
+        placed = hits.select(F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(F.lit(32767)).alias("bit"))
+        return placed.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+    def _whole(self) -> DataFrame:
+        docs = self.spark.read.schema(self.schema).parquet(self.documents)
+        return self._located(docs, F.col(f"`{self.text}`").alias("t"))
+
+    def _collisions(self) -> DataFrame:
+        """Digests under which rows with different bytes were found.
+
+        Texts of hits alone are moved, and per task once, however many rows have them.
+        """
+        bitmaps = self._hits()
+        place = _row_hash().bitwiseAND(F.lit(self.bits - 1))
+        rows = self._whole().withColumn("place", place)
+        rows = rows.join(F.broadcast(bitmaps), F.shiftright("place", 15) == F.col("bucket"))
+        bit = F.col("place").bitwiseAND(F.lit(32767)).cast("int")
+        byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        is_hit = F.call_function("shiftright", byte, bit.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1)) == 1
+        clean = normalised(F.col("t"))
+        whole = rows.where(is_hit).select(self.digest(clean).alias("digest"), clean.alias("clean"))
+        same = whole.groupBy("digest").agg(F.min("clean").alias("a"), F.max("clean").alias("b"))
+        return same.where("a != b").select("digest")
 
     def result(self) -> DataFrame:
         """doc_id, keep_id, group_size, kept, text_sha256 of every row taken in."""
-        self._hits().write.parquet(f"{self.at}/hits")
-        hits = self.spark.read.parquet(f"{self.at}/hits")
-        docs = self.spark.read.schema(self.schema).parquet(self.documents)
-        whole = self._located(docs, normalised(F.col(f"`{self.text}`")).alias("clean"))
-        same_row = (F.col("file") == F.col("h_file")) & (F.col("row") == F.col("h_row"))
-        full = whole.join(hits, same_row).select("digest", "doc_id", "file", "row", "stays", "clean")
+        self._collisions().write.parquet(f"{self.at}/collisions")
+        collisions = self.spark.read.schema("digest binary").parquet(f"{self.at}/collisions")
         stays = (F.col("file") == F.col("stays.file")) & (F.col("row") == F.col("stays.row"))
-        full.write.parquet(f"{self.at}/full")
-        full = self.spark.read.parquet(f"{self.at}/full")
-        kept = full.where(stays).select("digest", F.col("clean").alias("kept_clean"))
-        unequal = full.join(kept, "digest").where(F.col("clean") != F.col("kept_clean"))
-        unequal.select("digest").distinct().write.parquet(f"{self.at}/collisions")
-        collisions = self.spark.read.parquet(f"{self.at}/collisions")
-        found = self.rows().join(self.state(), "digest").select("digest", "doc_id", "file", "row", "points", "n", "stays")
+        found = self.rows().join(self.state(), "digest")
         columns = [
             "doc_id", F.col("stays.doc_id").alias("keep_id"), F.col("n").alias("group_size"), stays.alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         ]
         if collisions.isEmpty() and self.digest is sha256:
             return found.select(*columns)
-        return self._by_bytes(found, whole, collisions, columns)
+        return self._by_bytes(found, self._whole(), collisions, columns)
 
     def _by_bytes(self, found: DataFrame, whole: DataFrame, collisions: DataFrame, columns: list) -> DataFrame:
         """Groups the rows of colliding digests by their bytes; the other rows stay as they are."""
-        texts = whole.select(F.col("file").alias("h_file"), F.col("row").alias("h_row"), "clean")
+        clean = normalised(F.col("t")).alias("clean")
+        texts = whole.select(F.col("file").alias("h_file"), F.col("row").alias("h_row"), clean)
         same_row = (F.col("file") == F.col("h_file")) & (F.col("row") == F.col("h_row"))
         hashed = found.join(texts, same_row).drop("h_file", "h_row").withColumn("sha", sha256(F.col("clean")))
         alone = hashed.join(collisions, "digest", "left_anti")
