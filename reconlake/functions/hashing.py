@@ -22,6 +22,10 @@ _NESTED = (T.ArrayType, T.MapType, T.StructType)
 def _value_text(field: T.StructField) -> str:
     """SQL of a one-to-one text form of a value."""
     c, kind = quoted(field.name), field.dataType
+    if isinstance(kind, T.MapType):
+        # equal maps may keep their entries in another order
+        entries = f"array_sort(map_entries({c}), (a, b) -> CASE WHEN a.key < b.key THEN -1 ELSE 1 END)"
+        return f"IF({c} IS NULL, NULL, to_json(struct({entries} AS v), map('ignoreNullFields', 'false')))"
     if isinstance(kind, _NESTED):
         # NULL itself stays NULL, NULLs inside are written out
         json = f"to_json(struct({c} AS v), map('ignoreNullFields', 'false'))"

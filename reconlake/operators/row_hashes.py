@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.functions import dates, status
-from reconlake.functions.columns import align_to, col
+from reconlake.functions.columns import align_to, col, same_types
 from reconlake.functions.hashing import hash_key
 from reconlake.operators.counts import (
     TablePair,
@@ -34,11 +34,11 @@ def hash_profile(
 ) -> DataFrame:
     """Rows per fingerprint on both sides: ``by`` columns, row_hash (binary), two counts.
 
-    Target columns are matched to the source by name, so column order does not matter. The
-    ``by`` columns are part of the row.
+    Target columns are matched to the source by name, so column order does not matter; types that
+    differ are widened on both sides. The ``by`` columns are part of the row.
     """
     keys = [col(b) for b in by]
-    target = align_to(target, source.columns)
+    source, target = same_types(source, align_to(target, source.columns))
     return side_counts(
         *[df.select(*keys, _fingerprint(df, mode, separator)) for df in (source, target)]
     )
@@ -91,13 +91,14 @@ def compare_rows(
 
 
 def _comparable(p: TablePair, windowed: bool) -> TablePair:
-    """Target columns in source order; a pair that cannot be compared carries the reason."""
+    """Target columns in source order, in common types; a pair that cannot be compared says why."""
     if windowed:
         p = checked_columns(p)
     if p.source is None or p.target is None:
         return p
     try:
-        return replace(p, target=align_to(p.target, p.source.columns))
+        source, target = same_types(p.source, align_to(p.target, p.source.columns))
+        return replace(p, source=source, target=target)
     except ValueError as e:
         return replace(p, target_error=str(e), comparable=False)
 

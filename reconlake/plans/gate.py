@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.errors import ENGINE_ERRORS
+from reconlake.functions import status
 from reconlake.operators import counts as C
 from reconlake.operators import lineage as L
 from reconlake.operators.discovery import date_profile
 from reconlake.operators.rollups import count_check
+from reconlake.operators.row_hashes import reconcile_hashes
 from reconlake.plans.reports import in_batches
 from reconlake.session import scratch_path
 from reconlake.sources.catalog import Reader, open_pairs
 
 READY = "ready"
+ROWS_DIFFER = "rows differ"
 
 
 def day_verdicts(days: DataFrame) -> DataFrame:
@@ -53,6 +56,23 @@ _VERDICT = (
 )
 
 
+def hash_verdicts(hashes: DataFrame) -> DataFrame:
+    """The same columns from a row-hash report: a note if the rows differ or were not compared.
+
+    Distinct rows stand in for days, so that a date table without any since the start says so.
+    """
+    equal = (F.col("validation_status") == status.MATCH) & (F.col("multiset_status") == status.MATCH)
+    rows = {"source_days": "source_hash_count", "target_days": "target_hash_count", "common_days": "source_hash_count"}
+    note = F.when(F.col("error_message").isNotNull(), F.concat(F.lit("ERROR: "), "error_message"))
+    return hashes.select(
+        "table_name",
+        F.lit(False).alias("has_date"),
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in rows.items()],
+        *[F.lit(0).cast("bigint").alias(c) for c in ("bad_days", "bad_totals")],
+        note.when(~equal, ROWS_DIFFER).alias("note"),
+    )
+
+
 def _with_note(verdicts: DataFrame) -> DataFrame:
     if "note" in verdicts.columns:
         return verdicts
@@ -65,13 +85,15 @@ def table_reasons(verdicts: DataFrame, start_date: str) -> DataFrame:
     A table that could not be compared says so; only one that was compared and is equal is ready.
     """
     none_since = F.col("note").startswith("not_data_found")
+    differ = F.coalesce(F.col("note") == ROWS_DIFFER, F.lit(False))
     dated = F.col("has_date")
     reason = (
-        F.when(F.col("note").isNotNull() & ~none_since, "table not compared")
+        F.when(F.col("note").isNotNull() & ~none_since & ~differ, "table not compared")
         .when(none_since | (dated & (F.col("source_days") == 0)), f"no source data since {start_date}")
         .when(dated & (F.col("target_days") == 0), f"no target data since {start_date}")
         .when(dated & (F.col("common_days") == 0), "no common day in source and target")
         .when((F.col("bad_days") > 0) | (F.col("bad_totals") > 0), "counts differ")
+        .when(differ, ROWS_DIFFER)
         .otherwise(READY)
     )
     return _with_note(verdicts).select("table_name", "has_date", reason.alias("reason"))
@@ -86,6 +108,7 @@ def _in_order(start_date: str) -> list[str]:
         f"no target data since {start_date}",
         "no common day in source and target",
         "counts differ",
+        ROWS_DIFFER,
         READY,
     ]
 
@@ -129,8 +152,14 @@ def decide(
     )
 
 
-def _compared(spark: SparkSession, pairs: Sequence[C.TablePair], start_date: str) -> DataFrame:
+def _compared(
+    spark: SparkSession, pairs: Sequence[C.TablePair], start_date: str, how: str = "counts"
+) -> DataFrame:
     """One verdict per table, each with a note if it could not be compared."""
+    if how == "hash":
+        dated = {p.table_name for p in pairs if p.date_column}
+        verdicts = hash_verdicts(reconcile_hashes(pairs, start_date))
+        return verdicts.withColumn("has_date", F.col("table_name").isin(*dated)) if dated else verdicts
     pairs = [C.checked_columns(p) for p in pairs]
     readable = [p for p in pairs if C.readable_pair(p)]
     dated = [p for p in readable if p.date_column]
@@ -177,6 +206,7 @@ def corpus_verdicts(
     read_target: Reader,
     start_date: str,
     tables_per_plan: int = 100,
+    how: str = "counts",
 ) -> DataFrame:
     """Verdicts of all tables that the scripts read, staged in plans of bounded size.
 
@@ -206,7 +236,7 @@ def corpus_verdicts(
     spark.createDataFrame([], _VERDICT).write.parquet(staged)
     in_batches(
         pairs,
-        lambda part: _compared(spark, part, start_date),
+        lambda part: _compared(spark, part, start_date, how),
         lambda df: df.write.mode("append").parquet(staged),
         tables_per_plan,
     )
@@ -221,10 +251,17 @@ def check_scripts(
     read_target: Reader,
     start_date: str,
     require_date_column: bool = False,
+    how: str = "counts",
 ) -> DataFrame:
-    """Decisions for a script corpus against two catalogs; see :func:`corpus_verdicts`."""
+    """Decisions for a script corpus against two catalogs; see :func:`corpus_verdicts`.
+
+    ``how`` compares by ``counts`` (days, or totals without a date column) or by row ``hash``
+    (of the rows since the start, or of all without a date column).
+    """
     lineage = L.script_lineage(scripts)
-    verdicts = corpus_verdicts(spark, lineage, sheet, read_source, read_target, start_date)
+    verdicts = corpus_verdicts(
+        spark, lineage, sheet, read_source, read_target, start_date, how=how
+    )
     return decide(lineage, verdicts, start_date, require_date_column)
 
 
@@ -259,17 +296,40 @@ def check_targets(
     read_intermediate: Reader,
     read_final: Reader,
     names: Sequence[str] | None = None,
+    how: str = "totals",
 ) -> DataFrame:
-    """Total counts of the tables the scripts write, in both catalogs, per script and table."""
+    """The tables the scripts write, in both catalogs, per script and table.
+
+    ``how``: by ``totals``, or by row ``hash``, which also finds changed rows of the same number; the
+    counts are then those of distinct rows.
+    """
     if names is None:
         targets = L.corpus_tables(lineage).filter("role = 'target'").select("table_name")
         names = [r.table_name for r in targets.collect()]
     used = L.script_tables(lineage, "target").withColumnRenamed("file_path", "sql_file")
     pairs = open_pairs(names, read_intermediate, read_final)
+    key = ["schema_name", "table_name"]
+    if how == "hash":
+        hashes = reconcile_hashes(pairs)
+        part = F.split("table_name", r"\.")
+        equal = (F.col("validation_status") == status.MATCH) & (F.col("multiset_status") == status.MATCH)
+        found = hashes.select(
+            F.get(part, F.lit(0)).alias("schema_name"),
+            F.get(part, F.lit(1)).alias("table_name"),
+            F.col("source_hash_count").alias("source_count"),
+            F.col("target_hash_count").alias("target_count"),
+            equal.alias("equal"),
+        )
+        same = F.coalesce("equal", F.lit(False))
+        return used.join(found, key, "left").select(
+            "sql_file", *key, "source_count", "target_count",
+            F.when(same, "Target rows match").otherwise("Not Validated").alias("validation_status"),
+            F.when(same, status.PASSED).otherwise(status.FAILED).alias("execution_status"),
+        )
     totals = C.reconcile_totals(spark, pairs).select(
         F.col("source_schema").alias("schema_name"),
         "table_name",
         "source_count",
         F.col("catalog_count").alias("target_count"),
     )
-    return count_check(used.join(totals, ["schema_name", "table_name"], "left"), "Target")
+    return count_check(used.join(totals, key, "left"), "Target")

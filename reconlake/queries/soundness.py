@@ -9,6 +9,7 @@ from reconlake.operators import counts as C
 from reconlake.operators import discovery as D
 from reconlake.operators import lineage as L
 from reconlake.operators import repair as R
+from reconlake.operators import row_hashes as H
 from reconlake.plans import gate
 from reconlake.plans.loads import guarded_load, verify_counts
 from reconlake.queries import fixtures as fx
@@ -202,3 +203,92 @@ def count_status_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = verify_counts("", 1, 1).status, verify_counts("", 1, 0).status
     same = F.col("source_count") == F.col("target_count")
     return counts.withColumn("status", F.when(same, good).otherwise(bad))
+
+
+# The rows since the start are compared as a whole; tables without a date column in all.
+def _hashed_row(name: str) -> str:
+    source, target = (f"SELECT * FROM ({d.sql()}) WHERE created >= DATE '{SINCE}'" for d in _TABLES[name])
+    return f"""SELECT '{name}' AS name, (SELECT count(*) FROM ({source})) AS sd, (SELECT count(*) FROM ({target})) AS td,
+  (SELECT count(*) FROM (({source} EXCEPT ALL {target}) UNION ALL ({target} EXCEPT ALL {source}))) AS n"""
+
+
+_HASHED = f"""WITH v AS (
+SELECT 's.plain' AS table_name, false AS has_date, 'ready' AS reason
+UNION ALL SELECT 's.gone', true, 'table not compared' UNION ALL SELECT 's.no_column', true, 'table not compared'
+UNION ALL SELECT name, true, CASE WHEN sd = 0 THEN 'no source data since {SINCE}'
+  WHEN td = 0 THEN 'no target data since {SINCE}' WHEN n > 0 THEN 'rows differ' ELSE 'ready' END
+FROM ({" UNION ALL ".join(map(_hashed_row, _DATED))}))"""
+
+
+@query(
+    "gate_hash_decisions",
+    _HASHED
+    + f""",
+jobs AS ({_SCRIPTS.sql()}), used AS (
+  SELECT file_path, 's.good' AS table_name FROM jobs
+  UNION SELECT file_path, split_part(text, 'JOIN ', 2) FROM jobs)
+SELECT file_path, count(*) AS total_tables, count(*) FILTER (has_date) AS dated_tables,
+  bool_and(reason = 'ready') AS ready, coalesce(max(reason) FILTER (reason <> 'ready'), 'ready') AS reason
+FROM used JOIN v USING (table_name) GROUP BY 1""",
+)
+def gate_hash_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate by row hash, over the same tables and scripts."""
+    scripts, sheet = _SCRIPTS.frame(spark, sf_dir), _sheet(spark, sf_dir)
+    return gate.check_scripts(spark, scripts, sheet, *_readers(spark, sf_dir), SINCE, how="hash")
+
+
+_WRITERS = fx.Derived(
+    "documents",
+    {
+        "file_path": "concat('job_', CAST(doc_id AS string), '.sql')",
+        "text": "concat('INSERT INTO ', CASE doc_id % 3 WHEN 0 THEN 's.plain' WHEN 1 THEN 's.changed' "
+        "ELSE 's.lost_days' END, ' SELECT 1')",
+    },
+)
+_CHANGED = fx.Derived(
+    "customer",
+    {"c_custkey": "c_custkey", "c_acctbal": "CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END"},
+)
+_BALANCES = fx.Derived("customer", {"c_custkey": "c_custkey", "c_acctbal": "c_acctbal"})
+
+
+@query(
+    "target_hash_check",
+    f"""WITH w AS ({_WRITERS.sql()}), t AS (
+SELECT 'plain' AS table_name, count(*) AS s, count(*) AS t, true AS ok FROM customer
+UNION ALL SELECT 'changed', count(*), count(*), count(*) FILTER (c_custkey % 10 = 0) = 0 FROM customer
+UNION ALL SELECT 'lost_days', count(*), count(*) FILTER (o_orderkey % 97 <> 0), count(*) FILTER (o_orderkey % 97 = 0) = 0
+FROM orders)
+SELECT file_path AS sql_file, 's' AS schema_name, table_name, s AS source_count, t AS target_count,
+  CASE WHEN ok THEN 'Target rows match' ELSE 'Not Validated' END AS validation_status,
+  CASE WHEN ok THEN 'Passed' ELSE 'Failed' END AS execution_status
+FROM w JOIN t ON w.text LIKE 'INSERT INTO s.' || t.table_name || ' %'""",
+)
+def target_hash_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted: changed balances of the same number of rows, and lost rows."""
+    tables = {"s.plain": _TABLES["s.plain"], "s.changed": (_BALANCES, _CHANGED), "s.lost_days": _TABLES["s.lost_days"]}
+
+    def reader(side: int):
+        return lambda name: tables[name][side].frame(spark, sf_dir)
+
+    lineage = L.script_lineage(_WRITERS.frame(spark, sf_dir))
+    return gate.check_targets(spark, lineage, reader(0), reader(1), how="hash")
+
+
+@query(
+    "recon_hash_type_drift",
+    """SELECT count(*) AS source_hash_count, count(*) AS target_hash_count, count(*) AS matched_hash_count,
+  0 AS source_only, 0 AS target_only, 0 AS uneven_copies, 0 AS rows_lost, 0 AS rows_added,
+  'Match' AS validation_status, 'Match' AS multiset_status
+FROM (SELECT DISTINCT o_orderkey, CAST(o_totalprice AS decimal(12,2)), o_orderdate FROM orders)""",
+)
+def recon_hash_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal values in the types that a repair leaves behind, and maps with another order of entries."""
+    orders = fx.table(spark, sf_dir, "orders")
+    key, price, day = "o_orderkey", "CAST(o_totalprice AS decimal(12,2))", "CAST(o_orderdate AS date)"
+    source = orders.selectExpr(f"{key} AS k", f"{price} AS p", f"{day} AS d", "map('a', 1, 'b', 2) AS m")
+    target = orders.selectExpr(
+        f"CAST({key} AS decimal(20,0)) AS k", f"CAST({price} AS decimal(38,18)) AS p",
+        f"CAST({day} AS timestamp_ntz) AS d", "map('b', 2, 'a', 1) AS m",
+    )
+    return H.compare_rows(source, target)
