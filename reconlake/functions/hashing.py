@@ -8,7 +8,7 @@ that were made that way.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,3 +92,25 @@ def hash_key(
 ) -> Column:
     """The same fingerprint as 32 bytes: half of what a shuffle on the hex text would move."""
     return F.expr(f"unhex({_row_hash(df, columns, mode, separator)})")
+
+
+def quick_key(
+    fields: Sequence[T.StructField], names: Sequence[str], kinds: Mapping[str, T.DataType] | None = None
+) -> list[Column]:
+    """Two independent 64-bit hashes of a row, cheaper than a fingerprint and half its size.
+
+    Which values are NULL is part of the row; nested values are hashed by their text. ``kinds`` gives types to
+    cast to first.
+    """
+    values, nulls = [], []
+    for field in fields:
+        c = quoted(field.name)
+        kind = (kinds or {}).get(field.name, field.dataType)
+        if isinstance(field.dataType, _NESTED):
+            values.append(_value_text(field))
+        else:
+            values.append(c if kind == field.dataType else f"CAST({c} AS {kind.simpleString()})")
+        nulls.append(f"IF({c} IS NULL, '1', '0')")
+    mask = f"concat({', '.join(nulls)})"
+    made = (f"xxhash64({mask}, {', '.join(values)})", f"xxhash64({', '.join(reversed(values))}, 'row', {mask})")
+    return [F.expr(sql).alias(name) for sql, name in zip(made, names)]

@@ -6,12 +6,25 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reconlake.functions import dates
-from reconlake.functions.columns import align_to, any_null, col
+from reconlake.functions.columns import align_to, any_null, col, same_types
+from reconlake.functions.hashing import quick_key
 
-_NEW, _COPIES, _KNOWN, _PIECE = "__new", "__copies", "__known", "__piece"
-_COPIES_PER_PIECE = 1000
+_KEYS, _ROW, _OLD = ["__row_key_1", "__row_key_2"], "__row", "__old"
+_FLOATS = (T.FloatType, T.DoubleType)
+
+
+def _one_zero(df: DataFrame) -> DataFrame:
+    """Negative zero as zero, which it equals."""
+    zeros = [F.lit(0.0).cast(f.dataType) for f in df.schema.fields]
+    return df.select(
+        *[
+            (col(f.name) + z).alias(f.name) if isinstance(f.dataType, _FLOATS) else col(f.name)
+            for f, z in zip(df.schema.fields, zeros)
+        ]
+    )
 
 
 def incremental_rows(
@@ -26,11 +39,11 @@ def incremental_rows(
 
     ``null_safe=False`` reproduces plain ``=`` over all columns: a row with any NULL never
     matches, so it comes back on every run. ``dedupe`` returns each row once. As in SQL, -0.0
-    equals 0.0 and comes back as 0.0.
+    equals 0.0 and comes back as 0.0. Rows are equal if their keys are (two hashes of 64 bits, over types
+    that hold the values of both sides), so columns of any type will do, maps included.
 
-    Both sides are stacked and grouped by all columns: one shuffle, no join and no sort, and
-    copies of a row merge before they are moved, on either side. The copies of a repeated row
-    are restored afterwards in bounded pieces that spread over the tasks.
+    Of the existing side only keys are moved, each once per task. New rows are moved once, to the
+    keys; adaptive execution splits a row that repeats too often for one task.
     """
     existing = align_to(existing, new.columns)
     if date_column is not None and cutoff is not None:
@@ -38,27 +51,20 @@ def incremental_rows(
         existing = dates.after(existing, date_column, cutoff)
     if not null_safe:
         existing = existing.filter(~any_null(existing))
-
-    columns = [col(c) for c in new.columns]
-    is_new = F.col(_NEW)
-    distinct = (
-        new.withColumn(_NEW, F.lit(True))
-        .unionByName(existing.withColumn(_NEW, F.lit(False)))
-        .groupBy(*columns)
-        .agg(F.count_if(is_new).alias(_COPIES), F.count_if(~is_new).alias(_KNOWN))
-    )
-    missing = distinct.filter((F.col(_KNOWN) == 0) & (F.col(_COPIES) > 0))
+    new, existing = _one_zero(new), _one_zero(existing)
+    wide, wide_existing = same_types(new, existing)
+    known = wide_existing.select(*quick_key(wide_existing.schema.fields, _KEYS))
+    # the key is taken of the widened columns, the rows keep their own types
+    kinds = {f.name: f.dataType for f in wide.schema.fields}
+    keyed = new.select(*[col(c) for c in new.columns], *quick_key(new.schema.fields, _KEYS, kinds))
     if dedupe:
-        return missing.select(*columns)
-    last_piece = dates.whole_quotient(F.col(_COPIES) - 1, F.lit(_COPIES_PER_PIECE))
-    pieces = missing.select(
-        *columns,
-        _COPIES,
-        F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias(_PIECE),
-    ).repartition(F.xxhash64(*columns), F.col(_PIECE))
-    in_piece = F.least(
-        F.lit(_COPIES_PER_PIECE), F.col(_COPIES) - F.col(_PIECE) * _COPIES_PER_PIECE
-    )
-    return pieces.select(
-        *columns, F.explode(F.sequence(F.lit(1), in_piece.cast("int"))).alias("__copy")
-    ).drop("__copy")
+        # copies merge before they are moved
+        rows = keyed.select(*_KEYS, F.struct(*[col(c) for c in new.columns]).alias(_ROW))
+        grouped = (
+            rows.unionByName(known, allowMissingColumns=True)
+            .groupBy(*_KEYS)
+            .agg(F.first(_ROW, ignorenulls=True).alias(_ROW), F.count_if(F.col(_ROW).isNull()).alias(_OLD))
+        )
+        return grouped.where(F.col(_OLD) == 0).select(f"{_ROW}.*")
+    missing = keyed.join(known.distinct(), _KEYS, "left_anti")
+    return missing.select(*[col(c) for c in new.columns])

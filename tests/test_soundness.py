@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 
 import pytest
+from conftest import plan_of
 
 from reconlake.operators import audit
 from reconlake.operators import counts as C
 from reconlake.operators import repair as R
+from reconlake.operators.incremental import incremental_rows
 from reconlake.plans import gate, loads, reports
 from reconlake.session import discard, scratch_path
 from reconlake.sources import catalog, files
@@ -145,3 +147,19 @@ def test_discard_stays_below_the_scratch_folder(spark, tmp_path):
         discard(spark, str(tmp_path))
 
 
+
+
+def test_an_incremental_load_moves_only_keys_of_the_old_side(spark):
+    wide = [f"id AS c{i}" for i in range(6)]
+    new, old = spark.range(50).selectExpr("id", *wide), spark.range(10, 60).selectExpr("id", *wide)
+    missing = incremental_rows(new, old)
+    exchanged = [line for line in plan_of(missing).splitlines() if "Exchange" in line]
+    assert sorted(r.id for r in missing.collect()) == list(range(10))
+    assert len(exchanged) <= 3
+    maps = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('c', 3)")
+    other = spark.sql("SELECT map('b', 2, 'a', 1) AS m")
+    assert [r.m for r in incremental_rows(maps, other).collect()] == [{"c": 3}]
+    nulls = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
+    assert [tuple(r) for r in incremental_rows(nulls, nulls.limit(1)).collect()] == [(None, 1)]
+    longer = spark.createDataFrame([(1,)], "a bigint")
+    assert incremental_rows(spark.createDataFrame([(1,), (2,)], "a int"), longer).schema.simpleString() == "struct<a:int>"
