@@ -353,27 +353,40 @@ def _harmless(choose: random.Random) -> str:
     )
 
 
-# Values for a corpus that has none of its own; all are reserved for examples.
-_EXAMPLES = ((0, "ann.lee@mail.example.com"), (1, "192.0.2.44"), (2, "4111111111111111"), (3, "+1 (212) 555-0147"))
+def _made_up(kind: int, choose: random.Random) -> str:
+    """A valid value in the usual form, whatever the corpus holds."""
+    number = lambda n: "".join(choose.choice("0123456789") for _ in range(n))
+    if kind == 0:
+        local = choose.choice(["jo", "k.b", "info", "ann.lee", "x_" + number(2), "mail.44"])
+        domain = choose.choice(["a", "site1", "post", "mail3.example", "x.y"])
+        return f"{local}@{domain}.{choose.choice(['org', 'de', 'net', 'com', 'info'])}"
+    if kind == 1:
+        return ".".join(str(choose.randint(0, 255)) for _ in range(4))
+    if kind == 2:
+        body = number(15)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+    return f"+{choose.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}"
 
 
 def examples(sample: list[str], seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """Training windows: the sample as the patterns label it, with values respelled, and with harmless ones."""
+    """Training windows: the sample as the patterns label it, and values respelled, and harmless ones.
+
+    Half of the values come from the sample, if it has any, and half are made up.
+    """
     choose = random.Random(seed)
-    values = [(k, w[s:e]) for w in sample for s, k, e in base_spans(w)]
-    values += [v for v in _EXAMPLES for _ in range(8)]
+    values: list[list[str]] = [[] for _ in KINDS]
+    for window in sample:
+        for s, k, e in base_spans(window):
+            values[k].append(window[s:e])
     made = [(w, base_spans(w)) for w in sample]
     carriers = [re.sub(r"[0-9@]", "", w)[:50] for w in sample] or ["it was sent to", "ask", ""]
-    for _ in range(SAMPLE_WINDOWS):
-        kind, value = choose.choice(values)
-        if kind == 0 and choose.random() < 0.2:
-            value = f"{choose.choice(['jo', 'k.b', 'info'])}@{choose.choice(['a', 'site1', 'post'])}.{choose.choice(['org', 'de', 'net'])}"
-        if kind == 3:
-            value = value[:-7] + "".join(choose.choice("0123456789") for _ in range(3)) + "-" + "".join(choose.choice("0123456789") for _ in range(4))
+    for n in range(SAMPLE_WINDOWS):
+        kind = n % len(KINDS)
+        own = values[kind] if choose.random() < 0.5 else []
+        value = choose.choice(own) if own else _made_up(kind, choose)
         other, before, after = respelled(kind, value, choose), choose.choice(carriers), choose.choice(carriers)
         before, after = before + choose.choice([" ", ": ", " "]), choose.choice([" ", ". ", ", ", " "]) + after
-        window = before + other + after
-        made.append((window, [(len(before), kind, len(before) + len(other))]))
+        made.append((before + other + after, [(len(before), kind, len(before) + len(other))]))
         made.append((before + _harmless(choose) + after, []))
     return made
 
