@@ -18,6 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import regex
 
+from reconlake.llm import workers
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Fixed value: the pre-token pattern of byte-level BPE.
@@ -112,6 +114,10 @@ class RecentTable(dict):
         super().__init__()
         self.compute, self.entries, self.older = compute, entries, {}
 
+    def drop(self) -> None:
+        self.clear()
+        self.older = {}
+
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
@@ -203,10 +209,12 @@ class PieceEncoder:
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
+workers.keeps("bpe", _ENCODERS.clear)
 
 
 def _encoder(vocabulary: Vocabulary, kind: str, value, total) -> PieceEncoder:
     """One encoder per worker process, kept from task to task."""
+    workers.in_use("bpe")
     key = (kind, vocabulary.key)
     if key not in _ENCODERS:
         _ENCODERS.clear()

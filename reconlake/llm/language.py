@@ -191,6 +191,7 @@ def predictor(docs: DataFrame, found: Profiles):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        workers.in_use("language")
         for texts in batches:
             names, scores = [], []
             for at in range(0, len(texts), _TEXTS):

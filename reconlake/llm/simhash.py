@@ -47,6 +47,7 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
 
 @F.pandas_udf(T.LongType())
 def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    workers.in_use("simhash")
     for texts in batches:
         yield pd.Series([fingerprint(t) for t in texts], dtype="int64")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +19,19 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
+
+
+_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """Says how to drop the lookup tables that an operator keeps from task to task."""
+    _TABLES[owner] = drop
+
+
+def in_use(owner: str) -> None:
+    """Drops the tables of all other operators: a worker that serves one stage after the other then
+    holds those of one only."""
+    for name, drop in _TABLES.items():
+        if name != owner:
+            drop()
