@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reconlake.llm import workers
+from reconlake.llm.bpe import RecentTable
 from reconlake.llm.filters import HashFilter
 from reconlake.session import scratch_path
 
@@ -45,50 +47,44 @@ UNITS = frozenset(
 )
 
 _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+")
-_SENTENCE_END = re.compile(r"[.!?:]\W*$")
-_NAME_FORM = re.compile(r"[^\W\d_]{2,}")
 _NUMBER, _UNIT, _NAME = (xxhash.xxh64_intdigest(f"<{kind}>", 7) for kind in ("number", "unit", "name"))
-_RECORD = np.dtype([("plain", "<u8"), ("form", "<u8"), ("kind", "u1"), ("ends", "u1")])
+_RECORD = np.dtype([("plain", "<u8"), ("kind", "u1"), ("ends", "u1")])
 _WORD, _NUM, _AFTER_NUM, _NAMED = 0, 1, 2, 3
 _PLACEHOLDERS = np.array([0, _NUMBER, _UNIT, _NAME], np.uint64)
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(WINDOW)], np.uint64)
-_CHUNKS = 1 << 16
 
 
-class _Chunks(dict):
-    """Token records of a run of characters without white space; bounded, emptied when full."""
+_PACK = struct.Struct("<QBB").pack
+_MARKS = frozenset(".,;:!?")
+_ENDS = frozenset(".!?:")
 
-    def __missing__(self, chunk: str) -> bytes:
-        value = _records(chunk)
-        if len(chunk) <= 64:
-            if len(self) >= 200_000:
-                self.clear()
-            self[chunk] = value
-        return value
+
+def _kind(token: str, word: str) -> int:
+    if token[0].isdigit():
+        return _NUM
+    if word in UNITS:
+        return _AFTER_NUM
+    return _NAMED if token[0].isupper() and len(token) > 1 and token[1:].islower() else _WORD
 
 
 def _records(chunk: str) -> bytes:
+    """The token records of characters without white space: hash, kind, and whether a sentence ends after."""
+    mark = chunk[-1] if chunk[-1] in _MARKS else ""
+    token = chunk[:-1] if mark else chunk
+    if token.isalpha():
+        word = token.lower()
+        return _PACK(xxhash.xxh64_intdigest(word, 7), _kind(token, word), mark in _ENDS and mark != "")
     found = list(_TOKEN.finditer(chunk))
-    out = np.zeros(len(found), _RECORD)
+    out = []
     for i, match in enumerate(found):
-        token = match[0]
-        word = token.lower()
-        out["plain"][i] = xxhash.xxh64_intdigest(word, 7)
-        if token[0].isdigit():
-            kind = _NUM
-        elif word in UNITS:
-            kind = _AFTER_NUM
-        elif token[0].isupper() and token[1:].islower() and _NAME_FORM.fullmatch(token):
-            kind = _NAMED
-        else:
-            kind = _WORD
-        out["kind"][i] = kind
+        word = match[0].lower()
         rest = chunk[match.end() : found[i + 1].start() if i + 1 < len(found) else len(chunk)]
-        out["ends"][i] = bool(_SENTENCE_END.match(rest)) or any(c in rest for c in ".!?:")
-    return out.tobytes()
+        out.append(_PACK(xxhash.xxh64_intdigest(word, 7), _kind(match[0], word), not _ENDS.isdisjoint(rest)))
+    return b"".join(out)
 
 
-_KNOWN = _Chunks()
+_KNOWN = RecentTable(_records)
+workers.keeps("templates", _KNOWN.drop)
 
 
 def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +100,7 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kind[(kind == _NAMED) & begins] = _WORD
         kind[(kind == _AFTER_NUM) & ~after_number] = _WORD
     form = np.where(kind > 0, _PLACEHOLDERS[kind], rows["plain"])
-    return rows["plain"], form, kind
+    return np.ascontiguousarray(rows["plain"]), form, kind
 
 
 def _window_hashes(words: np.ndarray) -> np.ndarray:
@@ -223,6 +219,7 @@ class Leaks:
         shared = self.spark.sparkContext.broadcast(HashFilter.of(self.items, "hash"))
 
         def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            workers.in_use("templates")
             possible = shared.value.might_have
             for batch in batches:
                 ids, keys, hashes, slots = [], [], [], []
