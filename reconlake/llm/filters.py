@@ -21,7 +21,7 @@ class HashFilter:
 
     @classmethod
     def of(cls, hashes: DataFrame, column: str) -> HashFilter:
-        """From a long column; the driver receives at most one short row per byte of the filter."""
+        """From a long column; the driver receives the bits, in bitmaps of 4,096 bytes."""
         rows = hashes.select(F.col(column).alias("h")).where("h IS NOT NULL")
         bits = LEAST_BITS
         wanted = 16 * rows.count()
@@ -30,10 +30,12 @@ class HashFilter:
         low = F.lit(bits - 1)
         probes = F.array(F.col("h").bitwiseAND(low), F.shiftrightunsigned("h", 33).bitwiseAND(low))
         bit = rows.select(F.explode(probes).alias("bit"))
-        one = F.call_function("shiftleft", F.lit(1), F.col("bit").bitwiseAND(F.lit(7)).cast("int"))
-        found = bit.groupBy(F.shiftrightunsigned("bit", 3).alias("byte")).agg(F.bit_or(one).alias("v")).toPandas()
+        maps = bit.groupBy(F.shiftright("bit", 15).alias("part")).agg(
+            F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(32767))).alias("bitmap")
+        )
         packed = np.zeros(bits // 8, np.uint8)
-        packed[found["byte"].to_numpy(np.int64)] = found["v"].to_numpy(np.uint8)
+        for part, bitmap in maps.collect():
+            packed[part * 4096 : (part + 1) * 4096] = np.frombuffer(bitmap, np.uint8)
         return cls(packed)
 
     def might_have(self, hashes: np.ndarray) -> np.ndarray:

@@ -9,7 +9,8 @@ except for their first place, after their bytes were compared.
 2. Digests that occur again go into a filter of bounded size; chunks that pass it are written with their
    bytes and grouped by digest and bytes. Partial aggregation leaves one row per task for a passage
    that a third of all documents have.
-3. Documents meet the list of their chunks to remove. This is the one shuffle of texts.
+3. Documents that may have chunks to remove (another such filter says which) meet the list of them. This
+   is the one shuffle of texts; all other documents stay where they are read.
 """
 
 from __future__ import annotations
@@ -188,9 +189,20 @@ class LineChunks:
                 made.append((left, len(numbers), lines))
             return pd.DataFrame(made, columns=["text", "removed_chunks", "removed_lines"])
 
+        shared = self.spark.sparkContext.broadcast(HashFilter.of(self.removed.select("text_key").distinct(), "text_key"))
+
+        @F.pandas_udf("boolean")
+        def touched(keys: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.might_have(keys.to_numpy(np.int64).view(np.uint64)))
+
         rows = self.docs.select(
             F.struct("*").alias("row"), self._id.alias("doc_id"), _text_key(self._text).alias("text_key"), self._text.alias("t")
-        )
+        ).withColumn("touched", touched("text_key"))
         same = F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("text_key") == F.col("l_key"))
-        return rows.join(lists, same, "left").withColumn("cut", cut("t", "removed"))
-
+        met = rows.where("touched").join(lists, same, "left").withColumn("cut", cut("t", "removed"))
+        # a text that surely has no chunk to remove stays where it is
+        none = F.lit(0)
+        whole = F.struct(F.col("t").alias("text"), none.alias("removed_chunks"), none.alias("removed_lines"))
+        rest = rows.where("NOT touched").withColumn("cut", whole)
+        columns = ["row", "doc_id", "cut"]
+        return met.select(*columns).unionByName(rest.select(*columns))
