@@ -129,10 +129,10 @@ def _slots(words: np.ndarray, kinds: np.ndarray, at: int) -> list[int]:
 
 
 _ITEM = pa.schema(
-    [("item_id", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()),
+    [("item_id", pa.int64()), ("item_key", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()),
      ("template", pa.bool_()), ("slots", pa.list_(pa.int64()))]
 )
-_ITEM_DDL = "item_id long, place int, n int, hash long, template boolean, slots array<long>"
+_ITEM_DDL = "item_id long, item_key long, place int, n int, hash long, template boolean, slots array<long>"
 _HIT = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
 _HIT_DDL = "doc_id long, text_key long, hash long, slots array<long>"
 
@@ -140,14 +140,14 @@ _HIT_DDL = "doc_id long, text_key long, hash long, slots array<long>"
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for item_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
             plain, form, usable, kinds = windows(text)
             words = canonical(text)[0]
             written, templates = plain.astype(np.int64).tolist(), form.astype(np.int64).tolist()
             for at in range(len(plain)):
-                rows.append((item_id, at, len(plain), written[at], False, []))
+                rows.append((item_id, key, at, len(plain), written[at], False, []))
                 if usable[at]:
-                    rows.append((item_id, at, len(plain), templates[at], True, _slots(words, kinds, at)))
+                    rows.append((item_id, key, at, len(plain), templates[at], True, _slots(words, kinds, at)))
         columns = list(zip(*rows)) or [()] * len(_ITEM)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ITEM)], schema=_ITEM)
 
@@ -187,7 +187,9 @@ class Leaks:
 
     Defined cases: NULL and empty texts, and items of fewer than five words, have no windows and never
     match; a NULL id of an item or document stays NULL in the result; repeated documents are reported once
-    per id and text, repeated items once per id; empty tables give no pairs; other columns are not read.
+    per id and text; every distinct text under an item's id (NULL included) is searched, and the id is
+    reported once per document, with the greatest share of its texts; empty tables give no pairs; other
+    columns are not read.
     """
 
     def __init__(
@@ -207,8 +209,8 @@ class Leaks:
         items = benchmark.select(
             F.col(f"`{item_column}`").cast("long").alias("item_id"), F.col(f"`{item_text}`").alias("t")
         ).where("t IS NOT NULL")
-        # texts under one id are one item: the first in order
-        items = items.groupBy("item_id").agg(F.min("t").alias("t"))
+        # ids repeat where suites are numbered anew or an item has variants: each text is searched
+        items = items.distinct().select("item_id", text_key(F.col("t")).alias("item_key"), "t")
         items.mapInArrow(_item_windows, _ITEM_DDL).write.parquet(f"{self.at}/items")
         self.items = self.spark.read.schema(_ITEM_DDL).parquet(f"{self.at}/items")
         self._find_hits()
@@ -247,22 +249,28 @@ class Leaks:
 
     def _candidates(self) -> DataFrame:
         """Distinct pairs of document and item that share one of the item's rarest windows."""
-        spread = self.items.groupBy("hash").agg(F.count_distinct("item_id").alias("spread"))
-        places = self.items.join(spread, "hash").groupBy("item_id", "place", "n").agg(F.max("spread").alias("spread"))
-        rarest = Window.partitionBy("item_id").orderBy("spread", "place")
+        item = ["item_id", "item_key"]
+        # a NULL id is an item, too: structs are counted, columns with NULLs are not
+        spread = self.items.groupBy("hash").agg(F.count_distinct(F.struct(*item)).alias("spread"))
+        places = self.items.join(spread, "hash").groupBy(*item, "place", "n").agg(F.max("spread").alias("spread"))
+        rarest = Window.partitionBy(*item).orderBy("spread", "place")
         needed = F.ceil(F.col("n") * F.lit(self.least_share) - 1e-9)
         first = places.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= F.col("n") - needed + 1)
-        keys = self.items.join(first.select(F.col("item_id").alias("f_item"), F.col("place").alias("f_place")),
-            F.col("item_id").eqNullSafe(F.col("f_item")) & (F.col("place") == F.col("f_place")))
-        keys = keys.select("hash", "item_id").distinct()
+        first = first.select(F.col("item_id").alias("f_item"), F.col("item_key").alias("f_key"), F.col("place").alias("f_place"))
+        same = (
+            F.col("item_id").eqNullSafe(F.col("f_item")) & (F.col("item_key") == F.col("f_key"))
+            & (F.col("place") == F.col("f_place"))
+        )
+        keys = self.items.join(first, same).select("hash", *item).distinct()
         met = self.hits.select("doc_id", "text_key", "hash").distinct().join(keys, "hash")
-        return met.select("doc_id", "text_key", "item_id").distinct()
+        return met.select("doc_id", "text_key", *item).distinct()
 
     def pairs(self) -> DataFrame:
         """doc_id, text_key, item_id, share of the item's windows, and whether they stand there as written."""
-        wanted = self.candidates.withColumnRenamed("item_id", "c_item").join(
-            self.items, F.col("c_item").eqNullSafe(F.col("item_id"))
-        ).drop("c_item")
+        candidates = self.candidates.withColumnsRenamed({"item_id": "c_item", "item_key": "c_key"})
+        wanted = candidates.join(
+            self.items, F.col("c_item").eqNullSafe(F.col("item_id")) & (F.col("c_key") == F.col("item_key"))
+        ).drop("c_item", "c_key")
         hits = self.hits.select(
             F.col("doc_id").alias("h_id"), F.col("text_key").alias("h_key"), F.col("hash").alias("h_hash"),
             F.col("slots").alias("d_slots"),
@@ -274,7 +282,7 @@ class Leaks:
         # a window without placeholders is the same as written and as a template
         met = wanted.join(hits, same).where(F.size("d_slots") == F.size("slots"))
         match = F.struct("place", "slots", "d_slots")
-        found = met.groupBy("doc_id", "text_key", "item_id", "n").agg(
+        found = met.groupBy("doc_id", "text_key", "item_id", "item_key", "n").agg(
             F.count_distinct(F.when(~F.col("template"), F.col("place"))).alias("written"),
             F.collect_set(match).alias("matches"),
         )
@@ -288,8 +296,9 @@ class Leaks:
         exact = found.where(as_written).select("doc_id", "text_key", "item_id", "n", F.col("written").cast("int").alias("m"), F.lit(True).alias("as_written"))
         other = found.where(~as_written).withColumn("m", consistent("matches", "n"))
         other = other.where(F.col("m") >= needed).select("doc_id", "text_key", "item_id", "n", "m", F.lit(False).alias("as_written"))
-        return exact.unionByName(other).select(
-            "doc_id", "text_key", "item_id", (F.col("m") / F.col("n")).alias("share"), "as_written"
+        best = F.max(F.struct((F.col("m") / F.col("n")).alias("share"), "as_written")).alias("best")
+        return exact.unionByName(other).groupBy("doc_id", "text_key", "item_id").agg(best).select(
+            "doc_id", "text_key", "item_id", "best.share", "best.as_written"
         )
 
     def clean(self) -> DataFrame:

@@ -81,6 +81,19 @@ def test_documents_against_plain_search(spark, sf_dir):
     assert clean.count() == docs.count() - len({d for d, _ in wanted})
 
 
+def test_every_text_of_an_item_is_searched(spark):
+    def text(letter):
+        return " ".join(f"word{letter}{chr(97 + i)}" for i in range(12))
+
+    longer = f"{text('x')} and five words more here"
+    items = [(7, text("p")), (7, text("q")), (None, text("r")), (None, text("s")), (8, text("x")), (8, longer), (8, text("x"))]
+    docs = documents(spark, *[f"before {text(c)} after" for c in "pqrs"], f"before {longer}", "nothing of the kind is said")
+    leaks = templates.Leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted(((r.doc_id, r.item_id, r.share) for r in leaks.pairs().collect()), key=repr)
+    assert got == [(0, 7, 1.0), (1, 7, 1.0), (2, None, 1.0), (3, None, 1.0), (4, 8, 1.0)]
+    assert [r.doc_id for r in leaks.clean().collect()] == [5]
+
+
 def test_odd_rows(spark):
     items = spark.createDataFrame([(1, None, 5), (2, "", 5), (None, ROWS[0][1], 5), (3, "a b", 5)], "item_id long, text string, hash int")
     leaks = templates.Leaks(frame(spark), items)
