@@ -2,7 +2,9 @@
 
 Each line of a file (long lines in overlapping stretches) is compared with the templates as a sparse
 TF-IDF vector. How many documents use each word of the templates is counted over all documents first; a
-word that no template has weighs as a word of no document. A line can only reach the threshold if it has
+word that no template has weighs as the words of the template that it is compared with (root mean
+square), so a notice of n words with k others has about the cosine sqrt(n / (n + k)), however large the
+corpus is. A line can only reach the threshold if it has
 one of a template's heaviest words, so other files are passed over without loss.
 
 A file that is a licence file, by its name or because most of its words are the notice, speaks for its
@@ -77,11 +79,11 @@ def words(text: str) -> list[str]:
 
 @dataclass
 class Matcher:
-    """Template vectors of length 1, the weights of words, and the words of which a match needs one."""
+    """Template vectors of length 1 with the squared weight of other words, the weights of words, and the
+    words of which a match needs one."""
 
-    vectors: list[tuple[str, dict[str, float]]]
+    vectors: list[tuple[str, dict[str, float], float]]
     weights: dict[str, float]
-    other: float
     least: float
     needed: frozenset[str]
 
@@ -90,10 +92,10 @@ class Matcher:
         """``used_by``: number of documents that have a word."""
         vocabulary = {w for texts in templates.values() for t in texts for w in words(t)}
         weights = {w: 1 + math.log((1 + documents) / (1 + used_by.get(w, 0))) for w in vocabulary}
-        made = cls([], weights, 1 + math.log(1 + documents), least, frozenset())
-        made.vectors = [(name, made.vector(words(t))) for name in sorted(templates) for t in templates[name]]
+        made = cls([], weights, least, frozenset())
+        made.vectors = [(name, *made.template(words(t))) for name in sorted(templates) for t in templates[name]]
         needed: set[str] = set()
-        for _, vector in made.vectors:
+        for _, vector, _ in made.vectors:
             # without its heaviest words a template cannot be reached
             rest = 1.0
             for word, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
@@ -104,16 +106,21 @@ class Matcher:
         made.needed = frozenset(needed)
         return made
 
-    def vector(self, found: list[str]) -> dict[str, float]:
-        made = {w: n * self.weights.get(w, self.other) for w, n in Counter(found).items()}
+    def template(self, found: list[str]) -> tuple[dict[str, float], float]:
+        made = {w: n * self.weights[w] for w, n in Counter(found).items()}
         length = math.sqrt(sum(v * v for v in made.values())) or 1.0
-        return {w: v / length for w, v in made.items()}
+        mean_square = sum(self.weights[w] ** 2 for w in made) / max(len(made), 1)
+        return {w: v / length for w, v in made.items()}, mean_square
 
     def best(self, found: list[str]) -> tuple[str | None, float]:
         """The nearest template's licence and cosine; of equals, the first by name."""
-        vector, name, score = self.vector(found), None, 0.0
-        for license_id, template in self.vectors:
-            cosine = sum(v * vector.get(w, 0.0) for w, v in template.items())
+        counts, name, score = Counter(found), None, 0.0
+        vector = {w: n * self.weights[w] for w, n in counts.items() if w in self.weights}
+        known = sum(v * v for v in vector.values())
+        others = sum(n * n for w, n in counts.items() if w not in vector)
+        for license_id, template, mean_square in self.vectors:
+            dot = sum(v * vector.get(w, 0.0) for w, v in template.items())
+            cosine = dot / math.sqrt(known + others * mean_square) if dot else 0.0
             if cosine > score + 1e-12:
                 name, score = license_id, cosine
         return (name, min(score, 1.0)) if score >= self.least else (None, 0.0)

@@ -45,6 +45,25 @@ def test_skipping_loses_no_match():
     assert of.scan(MIT)[0] == "MIT" and of.scan(long)[0] is None
 
 
+def test_other_words_on_the_line_weigh_alike_at_every_size():
+    # shares of the documents that have a word
+    shares = {"released": 0.01, "under": 0.04, "the": 0.6, "mit": 0.1, "license": 0.03, "licensed": 0.03, "apache": 0.02, "version": 0.02}
+    of = [
+        licenses.Matcher.of(licenses.TEMPLATES, {w: int(n * s) for w, s in shares.items()}, n, licenses.LEAST_COSINE)
+        for n in (1_000, 10_000_000)
+    ]
+    for line, wanted in (
+        ("// Acme: Released under the MIT License.", "MIT"),
+        ("Acme and Sons: Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Acme Sons " + licenses.TEMPLATES["Unlicense"][0], "Unlicense"),
+    ):
+        (small, near), (large, far) = (m.best(licenses.words(line)) for m in of)
+        assert small == large == wanted
+        assert abs(near - far) < 0.05
+    for m in of:
+        assert m.best(licenses.words("the driver has a license to drive under the age of nine"))[0] is None
+
+
 def test_documents_with_a_notice_are_found(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = op3_licenses(spark, sf_dir).join(docs, "doc_id").collect()
