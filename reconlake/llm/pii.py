@@ -45,11 +45,13 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s|.", re.DOTALL)
-#: Where personal data in another form may stand: an at sign or dot in brackets or words, or seven digits
-#: or more in groups.
+#: Where personal data in another form may stand: an at sign or dot in brackets or words, the word at before
+#: a dotted name, seven digits or more in groups, or four groups of one to three digits with dots.
 _ANCHOR = re.compile(
     r"@|[\[({]\s?at\s?[\])}]|(?<=[\s\])}])(?:dot|DOT)(?=[\s\[({])|[\[({]\s?dot\s?[\])}]"
-    r"|(?<![0-9])[0-9](?:[^\S\n]?[().\[\]/_-]{0,3}[^\S\n]?[0-9]){6,}",
+    r"|(?<![0-9])[0-9](?:[^\S\n]?[().\[\]/_-]{0,3}[^\S\n]?[0-9]){6,}"
+    r"|(?<=[^\W_])[^\S\n]at[^\S\n](?=[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2})"
+    r"|(?<![0-9])[0-9]{1,3}(?:(?:[^\S\n]?[\[({][^\S\n]?\.[^\S\n]?[\])}][^\S\n]?|[^\S\n]\.[^\S\n]|\.)[0-9]{1,3}){3}(?![0-9])",
     re.IGNORECASE,
 )
 _CONTEXT = 60
@@ -122,6 +124,18 @@ def windows(text: str) -> list[tuple[int, int]]:
 _AT = re.compile(r"@|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s", re.IGNORECASE)
 _DOT = re.compile(r"\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s", re.IGNORECASE)
 _ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+")
+# Frequent last labels of domains.
+_TOPS = frozenset("com org net edu gov mil int info biz io ai app dev uk us de fr it es nl ch at be se no fi dk pl cz pt ru cn jp in br au ca nz eu".split())
+# Words after which "at example.com" names a place, not a mailbox.
+_ORDINARY = frozenset(
+    "a all also am an and are as available back based be been books bought built but by can check come data day"
+    " deals details do down etc find for found free from get given go guide had has have he held her here him his"
+    " home hosted how i in is it its join just kept know learn left listed live located look looking made me meet"
+    " meeting more my new no not now of off offered on online only or order our out over page people posted prices"
+    " published purchased read registered released research right seen sell sent she shown site so sold some store"
+    " taken that the their them then there these they this those time today together up updated us used visit"
+    " visiting was we website well were what when where which who will with work working works write yes you your".split()
+)
 
 
 def _email_features(span: str) -> list[str] | None:
@@ -135,6 +149,8 @@ def _email_features(span: str) -> list[str] | None:
     at = _AT.search(span)[0]
     local_labels = _DOT.split(local)
     word_dots = _DOT.search(domain)[0].strip(" []{}()").lower() == "dot"
+    if at.strip().isalpha() and not word_dots and local.lower() in _ORDINARY:
+        return None
     spaced = any(" " in x or not x for x in [*labels, *local_labels])
     return [
         "at:" + ("sign" if at == "@" else "bracket" if at.strip() != at.strip(" []{}()") else "word"),
@@ -144,6 +160,7 @@ def _email_features(span: str) -> list[str] | None:
         "labels:" + str(bool(all(re.fullmatch(r"[A-Za-z0-9-]+", x) for x in labels))),
         f"n-labels:{min(len(labels), 5)}",
         f"spaced:{spaced}",
+        f"top-known:{labels[-1].lower() in _TOPS}:{word_dots}",
         "top:" + ("short" if re.fullmatch(r"[A-Za-z]{2,6}", labels[-1]) else "odd"),
         f"local-labels:{min(len(local_labels), 4)}",
     ]
@@ -162,7 +179,7 @@ def _digit_features(span: str) -> list[str] | None:
     lead = between[0]
     return [
         f"digits:{len(digits)}", f"shape:{shape}", "marks:" + "".join(marks)[:8], f"octets:{octets}",
-        f"octets-marks:{octets}:" + "".join(marks)[:8], f"luhn:{valid}", f"luhn-digits:{valid}:{len(digits)}",
+        f"octets-marks:{octets}:" + "".join(marks)[:8], f"octets-between:{octets}:" + "|".join(sorted(set(between[1:-1])))[:12], f"luhn:{valid}", f"luhn-digits:{valid}:{len(digits)}",
         f"lead:{lead}", f"balanced:{span.count('(') == span.count(')')}", f"groups:{min(len(groups), 7)}",
         f"shape-marks:{shape}:" + "".join(marks)[:8], f"shape-lead:{shape}:{lead}",
         f"even:{len({len(g) for g in groups}) == 1}",
@@ -321,7 +338,7 @@ def all_spans(text: str, base: list[tuple[int, int, int]], weights: np.ndarray)
 def respelled(kind: int, value: str, choose: random.Random) -> str:
     """A validated value in another form."""
     if kind == 0:
-        at, dot = choose.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]")])
+        at, dot = choose.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", ".")])
         local, domain = value.split("@")
         return local + at + domain.replace(".", dot)
     digits = [c for c in value if c in "0123456789"]
@@ -347,7 +364,7 @@ def _harmless(choose: random.Random) -> str:
             f"{number(1)}.{number(1)}.{number(2)}", card, ".".join(card[i : i + 4] for i in range(0, 16, 4)), number(8),
             number(choose.randint(9, 14)), f"{number(4)}-{number(4)}", f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}",
             f"{number(2)}:{number(2)}:{number(2)}.{number(3)}", f"{choose.randint(300, 999)} . {number(2)} . {number(2)} . {number(2)}",
-            f"{number(6)}/{number(6)}", "look at the dot on", "met at noon dot and", f"{number(40)}", f"#{number(7)}",
+            f"{number(1)}. {number(1)}. {number(1)}. {number(1)}.", f"{number(6)}/{number(6)}", "look at the dot on", "met at noon dot and", f"{number(40)}", f"#{number(7)}",
             f"{number(3)}.{number(3)}.{number(3)}.{number(3)}.{number(3)}", f"{number(5)} {number(5)} {number(5)} {number(5)}",
         ]
     )
@@ -361,7 +378,9 @@ def _made_up(kind: int, choose: random.Random) -> str:
         domain = choose.choice(["a", "site1", "post", "mail3.example", "x.y"])
         return f"{local}@{domain}.{choose.choice(['org', 'de', 'net', 'com', 'info'])}"
     if kind == 1:
-        return ".".join(str(choose.randint(0, 255)) for _ in range(4))
+        # one in three has short parts only, as private and resolver addresses have
+        most = choose.choice([9, 255, 255])
+        return ".".join(str(choose.randint(0, most)) for _ in range(4))
     if kind == 2:
         body = number(15)
         return next(body + c for c in "0123456789" if luhn(body + c))

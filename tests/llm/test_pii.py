@@ -54,6 +54,20 @@ def test_other_spellings_are_found_and_harmless_text_is_left_alone(weights):
     assert found >= 190 and added <= 4
 
 
+def test_short_addresses_in_every_spelling(weights):
+    for value in ("10.0.0.1", "8.8.8.8", "127.0.0.1", "1.1.1.1", "10.0.12.9", "192.168.10.21"):
+        for form in ("[.]", " . ", "(.)"):
+            other = value.replace(".", form)
+            text = f"the host {other} is up"
+            assert pii.windows(text)
+            assert pii.all_spans(text, pii.base_spans(text), weights) == [(9, 1, 9 + len(other))], other
+    for other in ("kate at example.com", "kate.lee at mail.example.org", "info at example.com", "fred at example.com", "billing at example.com", "kate (at) example.com", "kate at example dot com"):
+        text = f"ask for {other}, please"
+        assert pii.all_spans(text, pii.base_spans(text), weights) == [(8, 0, 8 + len(other))], other
+    for text in ("look at example.com today", "it was bought at example.com", "1. 2. 3. 4. and 300 . 12 . 34 . 56", "see us at example.org"):
+        assert pii.all_spans(text, pii.base_spans(text), weights) == [], text
+
+
 def test_best_spans_and_probabilities_against_all_segmentations(weights):
     of = pii.lattice("at (212) 555-0147, or")
     scores = [float(weights[f].sum()) for *_, f in of.spans]
