@@ -15,11 +15,15 @@ from reconlake.session import scratch_path
 TOKENIZER = "byte_bpe_50k.json"
 #: (1 + cosine) / 2 with the nearest language: rejected if a text is not nearer to it than to none.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Share of the learned documents of a language that may lie below the cosine asked of its documents.
+LANGUAGE_QUANTILE = 0.001
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those that resemble no language of the corpus."""
-    return language.identified(docs, language.learn(docs), LEAST_LANGUAGE_SCORE)
+    found = language.learn(docs)
+    least = language.least_nearness(docs, found, LANGUAGE_QUANTILE)
+    return language.identified(docs, found, LEAST_LANGUAGE_SCORE, least=least)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,18 +99,24 @@ def bundle(texts: list[str | None]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Languages and their prototypes, without what all have in common (``shared``, of length 1)."""
+    """Languages and their prototypes, without what all have in common (``shared``, of length 1), and with it
+    (``whole``)."""
 
     languages: tuple[str, ...]
     prototypes: np.ndarray
     shared: np.ndarray
+    whole: np.ndarray
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The nearest language and its score (1 + cosine) / 2; ``und`` and 0 without letters."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As ``predict``, and the cosine with that language before the common part is taken out."""
         vectors = bundle(texts)
         empty = ~vectors.any(axis=1)
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
         vectors = vectors / np.maximum(lengths, 1e-9)
         own = vectors - (vectors @ self.shared)[:, None] * self.shared
@@ -119,7 +125,8 @@ class Profiles:
         best = cosines.argmax(axis=1)
         scores = np.clip((1 + cosines[np.arange(len(best)), best].astype(float)) / 2, 0, 1)
         named = [UNDETERMINED if e else self.languages[b] for b, e in zip(best, empty)]
-        return named, np.where(empty, 0.0, scores)
+        nearness = np.einsum("ij,ij->i", vectors, self.whole[best]).astype(float)
+        return named, np.where(empty, 0.0, scores), np.where(empty, 0.0, nearness)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -173,7 +180,8 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
 def profiles(bundles: dict[str, np.ndarray]) -> Profiles:
     languages = tuple(sorted(bundles))
     if not languages:
-        return Profiles((), np.zeros((0, DIMENSIONS), np.float32), np.zeros(DIMENSIONS, np.float32))
+        none = np.zeros((0, DIMENSIONS), np.float32)
+        return Profiles((), none, np.zeros(DIMENSIONS, np.float32), none)
     stacked = np.stack([bundles[name] / np.linalg.norm(bundles[name]) for name in languages])
     shared = stacked.mean(axis=0)
     shared /= np.linalg.norm(shared)
@@ -181,24 +189,48 @@ def profiles(bundles: dict[str, np.ndarray]) -> Profiles:
         shared = np.zeros(DIMENSIONS)
     own = stacked - (stacked @ shared)[:, None] * shared
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
-    return Profiles(languages, own.astype(np.float32), shared.astype(np.float32))
+    return Profiles(languages, own.astype(np.float32), shared.astype(np.float32), stacked.astype(np.float32))
+
+
+def least_nearness(
+    docs: DataFrame, found: Profiles, quantile: float, text: str = "text", language: str = "lang", id_column: str = "doc_id"
+) -> dict[str, float]:
+    """Per predicted language, the cosine (rounded down to 0.01) that all but a ``quantile`` of the documents
+    learned from reach; a language that none of them is taken for has no entry."""
+    known = docs.where(~held_out(F.col(f"`{id_column}`")) & F.col(f"`{language}`").isNotNull())
+    judged = known.select(predictor(docs, found)(F.col(f"`{text}`")).alias("p")).where(F.col("p.lang_pred") != UNDETERMINED)
+    counts = judged.groupBy("p.lang_pred", F.floor(F.col("p.nearness") * 100).alias("bin")).count()
+    by_language: dict[str, list[tuple[int, int]]] = {}
+    # at most 201 rows per language
+    for row in counts.collect():
+        by_language.setdefault(row["lang_pred"], []).append((row["bin"], row["count"]))
+    least = {}
+    for name, bins in by_language.items():
+        below, allowed = 0, quantile * sum(n for _, n in bins)
+        for edge, n in sorted(bins):
+            below += n
+            if below > allowed:
+                least[name] = edge / 100
+                break
+    return least
 
 
 def predictor(docs: DataFrame, found: Profiles):
-    """A function from a text column to a struct of lang_pred and score."""
+    """A function from a text column to a struct of lang_pred, score and nearness."""
     workers.importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(found)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, nearness double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         workers.in_use("language")
         for texts in batches:
-            names, scores = [], []
+            names, scores, nearness = [], [], []
             for at in range(0, len(texts), _TEXTS):
-                some, s = shared.value.predict(texts.iloc[at : at + _TEXTS].tolist())
+                some, s, near = shared.value.judge(texts.iloc[at : at + _TEXTS].tolist())
                 names += some
                 scores += s.tolist()
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+                nearness += near.tolist()
+            yield pd.DataFrame({"lang_pred": names, "score": scores, "nearness": nearness})
 
     return predict
 
@@ -216,9 +248,17 @@ def identify(
     return named.withColumn("p", predictor(docs, found)("t")).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def identified(docs: DataFrame, found: Profiles, least_score: float, text: str = "text") -> DataFrame:
-    """The columns of the documents, without those that are ``und`` or score below ``least_score``."""
+def identified(
+    docs: DataFrame, found: Profiles, least_score: float, text: str = "text", least: dict[str, float] | None = None
+) -> DataFrame:
+    """The columns of the documents, without those that are ``und`` or score below ``least_score``, and those
+    whose cosine with their language is below what ``least`` asks of it."""
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("t"))
     judged = rows.withColumn("p", predictor(docs, found)("t"))
     sure = (F.col("p.lang_pred") != UNDETERMINED) & (F.col("p.score") >= least_score)
+    if least:
+        asked = F.lit(None).cast("double")
+        for name in sorted(least):
+            asked = F.when(F.col("p.lang_pred") == name, F.lit(least[name])).otherwise(asked)
+        sure &= F.col("p.nearness") >= F.coalesce(asked, F.lit(-1.0))
     return judged.where(sure).select("row.*")

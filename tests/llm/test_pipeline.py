@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -101,6 +102,18 @@ def test_run_against_plain_python(spark, sf_dir):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == plain_tokens(kept)
 
 
+def test_letter_junk_and_an_unseen_language_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    choose = random.Random(5)
+    junk = ["".join(choose.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (200, 1000, 5000)]
+    junk.append("Ez egy magyar szöveg, amelyet a modell nem ismer, és az időjárásról szól ma reggel")
+    junk.append("Το ελληνικό αλφάβητο χρησιμοποιείται για τη γραφή της γλώσσας και έχει πολλά γράμματα")
+    rows = [(10**9 + n, text) for n, text in enumerate(junk)]
+    added = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(added, allowMissingColumns=True), sf_dir).collect()}
+    assert got == {d.doc_id for d in plain_language(docs.collect())}
+
+
 def test_stages_take_odd_rows(spark, sf_dir):
     rows = frame(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
