@@ -30,6 +30,8 @@ _SETTINGS = {
     # many small stores: reserve no disk in advance
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+#: Files are taken in however old they are (Spark passes over those a week older than the newest seen).
+MOST_FILE_AGE = "36500d"
 #: Bits that mark the rows whose bytes are compared, at most.
 MOST_BITS = 1 << 28
 
@@ -108,14 +110,14 @@ class ExactDedup:
         text = F.col(f"`{self.text}`")
         clean = normalised(text)
         source = self.spark.readStream.schema(self.schema)
-        source = source.option("maxBytesPerTrigger", str(self.bytes_per_trigger))
+        source = source.option("maxBytesPerTrigger", str(self.bytes_per_trigger)).option("maxFileAge", MOST_FILE_AGE)
         short = self._located(
             source.parquet(_as_pattern(self.documents)),
             self.digest(clean).alias("digest"),
             F.coalesce(F.char_length(text), F.lit(0)).alias("points"),
         )
         self._drain(short, "parquet", "append", "rows", path=f"{self.at}/rows")
-        rows = self.spark.readStream.schema(self.rows().schema).parquet(f"{self.at}/rows")
+        rows = self.spark.readStream.schema(self.rows().schema).option("maxFileAge", MOST_FILE_AGE).parquet(f"{self.at}/rows")
         first = F.min(
             F.struct(
                 (-F.col("points")).alias("longest"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 import pytest
@@ -53,6 +54,17 @@ def test_new_files_continue_the_state(spark):
     agrees(ExactDedup(spark, path, at=at).advance().result(), [(r[0], r[1]) for r in ROWS])
 
 
+def test_old_files_are_taken_in_later(spark):
+    path, at = scratch_path(spark, "docs"), scratch_path(spark, "exact")
+    frame(spark).limit(4).coalesce(1).write.parquet(path)
+    first = ExactDedup(spark, path, at=at).advance().rows().count()
+    seen = set(os.listdir(path))
+    frame(spark).limit(4).coalesce(1).write.mode("append").parquet(path)
+    for name in set(os.listdir(path)) - seen:
+        os.utime(f"{path}/{name}", (10**9, 10**9))
+    assert (first, ExactDedup(spark, path, at=at).advance().rows().count()) == (4, 8)
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "docs")
     empty(spark).write.parquet(path)
