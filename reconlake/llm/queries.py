@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import exact_stream, language, licenses, line_chunks, mixing, pii, simhash, templates, token_counts, token_files
+from reconlake.llm import (
+    conversation_trie,
+    exact_stream,
+    language,
+    licenses,
+    line_chunks,
+    mixing,
+    periodic_runs,
+    pii,
+    simhash,
+    templates,
+    token_counts,
+    token_files,
+)
 from reconlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +168,74 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), thousand, fifty, F.concat(number, F.lit(".txt")))
     files = documents(spark, sf_dir).select("doc_id", "text", path.alias("path"))
     return licenses.LicenseScan(files, keep=("doc_id",)).result()
+
+
+@query(
+    "op12_conversation_trie",
+    r"""
+    WITH keyed AS (
+        SELECT conv_id, turn, length(coalesce(text, ''))::BIGINT AS points,
+               sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), turns AS (
+        SELECT conv_id, k, points, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS n FROM keyed
+    ), given AS (
+        -- CRC-32, bit by bit, of the decimal id
+        SELECT conv_id, conv_id - conv_id % 100 AS base,
+               xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda s, b: list_reduce(
+                       list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                       lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+               ), 4294967295::BIGINT) % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    ), rebuilt AS (
+        SELECT g.conv_id, t.n, t.k, t.points FROM given g JOIN turns t ON t.conv_id = g.base AND t.n <= g.h
+        UNION ALL
+        SELECT g.conv_id, t.n, t.k, t.points FROM given g JOIN turns t ON t.conv_id = g.conv_id AND t.n > g.h
+    ), paths AS (
+        SELECT conv_id, 0 AS depth, 'root' AS node, NULL AS parent, 0::BIGINT AS points FROM given
+        UNION ALL
+        SELECT conv_id, depth, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), 'root'), points
+        FROM (SELECT conv_id, points, row_number() OVER w AS depth, sha256(string_agg(k, ',') OVER w) AS node
+              FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY n))
+    ), nodes AS (
+        SELECT node, parent, depth, points, min(conv_id) AS conv_id, count(*) AS n_convs
+        FROM paths GROUP BY node, parent, depth, points
+    ), below AS (
+        SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+    ), rolled AS (
+        SELECT p.node, sum((y.n_convs - 1) * y.points)::BIGINT AS saved_tokens,
+               count(*) FILTER (b.node IS NULL) AS n_leaves
+        FROM nodes y LEFT JOIN below b ON b.node = y.node JOIN paths p ON p.conv_id = y.conv_id AND p.depth <= y.depth
+        GROUP BY p.node
+    ), ends AS (
+        SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+        FROM (SELECT conv_id, arg_max(node, depth) AS node FROM paths GROUP BY conv_id) GROUP BY node
+    )
+    SELECT x.conv_id, x.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, x.n_convs,
+           coalesce(b.n_children, 0) AS n_children, r.n_leaves, r.saved_tokens,
+           coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+    FROM nodes x JOIN rolled r ON r.node = x.node LEFT JOIN below b ON b.node = x.node
+    LEFT JOIN ends e ON e.node = x.node LEFT JOIN nodes u ON u.node = x.parent
+    """,
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_trie.ConversationTrie(conversation_trie.with_shared_heads(turns)).nodes()
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(documents(spark, sf_dir), rewrite=periodic_runs.repeat_tail)
+    # the longest; among equals the first, then the one of the smaller period
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("q")))
+    best = F.array_min(order)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    length, period = -best["n"], best["q"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["s"].alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
