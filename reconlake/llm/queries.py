@@ -18,6 +18,7 @@ from reconlake.llm import (
     periodic_runs,
     pii,
     simhash,
+    suffix_doubling,
     templates,
     token_counts,
     token_files,
@@ -170,6 +171,12 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.LicenseScan(files, keep=("doc_id",)).result()
 
 
+@query("op11_repeated_bytes")
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_doubling.RepeatedBytes(documents(spark, sf_dir)).report()
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     "op12_conversation_trie",
     r"""
