@@ -16,16 +16,17 @@ choose one anchor and travel as one row.
    unique or whose whole stretch is found in a smaller document. Past the threshold a row is one string.
 
 Ranks and bytes of the later rounds are exact. In the first round a stretch is known by two 64-bit hashes.
-Rows are read in sorted order with a state of one group's name, so no group is held; texts move
+Rows are read in sorted order with a state of one group, so no group is held; texts move
 only where rows are left after the first round, and where bytes go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,17 +119,19 @@ _ANCHOR_DDL = "core long, stretch long, doc long, tag int, lo int, shape int"
 _FOUND = pa.schema(
     [
         ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int32()), ("end", pa.int32()),
-        ("offset", pa.int32()), ("rank", pa.int64()), ("node", pa.int32()), ("bytes", pa.binary()),
+        ("offset", pa.int32()), ("node", pa.int32()), ("bytes", pa.binary()), ("rank", pa.int64()),
     ]
 )
-_FOUND_DDL = "doc long, tag int, lo int, end int, offset int, rank long, node int, bytes binary"
+_FOUND_DDL = "doc long, tag int, lo int, end int, offset int, node int, bytes binary, rank long"
 _PAIR = pa.schema(
     [
-        ("rank", pa.int64()), ("next", pa.binary()), ("bytes", pa.binary()), ("doc", pa.int64()), ("tag", pa.int32()),
-        ("lo", pa.int32()), ("end", pa.int32()), ("offset", pa.int32()), ("node", pa.int32()),
+        ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int32()), ("end", pa.int32()),
+        ("offset", pa.int32()), ("node", pa.int32()), ("bytes", pa.binary()), ("rank", pa.int64()), ("next", pa.binary()),
     ]
 )
-_PAIR_DDL = "rank long, next binary, bytes binary, doc long, tag int, lo int, end int, offset int, node int"
+_PAIR_DDL = "doc long, tag int, lo int, end int, offset int, node int, bytes binary, rank long, next binary"
+#: Bytes of the longest stretch, and of the longest step from one round to the next.
+_LONGEST, _LONGEST_STEP = THRESHOLD + _LAST, _STRINGS // 2 + 1
 
 
 def _combined(gram: np.ndarray, stretch: np.ndarray, doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, shape: np.ndarray) -> pa.RecordBatch:
@@ -186,119 +189,198 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _combined(*(np.concatenate(c) for c in zip(*held)))
 
 
-def _tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns))
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
 
 
-def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    made = []
-    for row in rows:
-        made.append(row)
-        if len(made) == _ROWS:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
-            made = []
-    if made:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
+def _content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column and where each value begins, and the last ends."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), at
 
 
-def resolved(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Marks and open rows from rows (pair, stretch, doc, tag, lo, end, offset, node, bytes) in that order.
+def _slices(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> pa.Array:
+    """A binary column of the given slices."""
+    ends = np.concatenate(([0], np.cumsum(length)))
+    values = data[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(begin), buffers)
 
-    Rows with one pair get one new rank. Those of a stretch that a smaller document has become marks (without an
-    offset); the others stay open if the pair has a second stretch, and drop out otherwise.
-    """
-    task = TaskContext.get()
-    rank = (task.partitionId() if task else 0) << 40
-    held: list[tuple] = []
-    pair = stretch = least = None
-    several = False
-    for new_pair, new_stretch, doc, tag, lo, end, offset, node, content in rows:
-        row = (doc, tag, lo, end, offset)
-        if new_pair != pair:
-            pair, stretch, least, several = new_pair, new_stretch, doc, False
-            rank += 1
-            held = [(*row, rank, node, content)]
-        elif new_stretch != stretch:
-            stretch, least = new_stretch, doc
-            if not several:
-                several = True
-                yield from held
-                held = []
-            yield *row, rank, node, content
-        elif doc > least:
-            yield doc, tag, lo, end, None, None, None, None
-        elif several:
-            yield *row, rank, node, content
-        else:
-            held.append((*row, rank, node, content))
 
+def _padded(column: pa.Array, width: int) -> np.ndarray:
+    """One row per value: its bytes, zeros, and its length."""
+    data, at = _content(column)
+    length = np.diff(at)
+    rows = np.zeros((len(length), width + 1), np.uint8)
+    rows[:, -1] = length
+    place = np.arange(width)
+    there = place < length[:, None]
+    rows[:, :width][there] = data[(at[:-1, None] + place)[there]]
+    return rows
 
-def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    marks: list[tuple] = []
 
-    def rows() -> Iterator[tuple]:
-        for core, stretch, doc, tag, lo, shape in _tuples(batches):
-            if stretch is None:
-                marks.append((doc, tag, lo, core, None, None, None, None))
-            else:
-                yield core, stretch, doc, tag, lo, lo + (shape & 63) + THRESHOLD, shape >> 6, _LAST, None
+class Groups:
+    """Reads rows sorted by (pair, stretch, doc) batch by batch; a state of one pair is carried along.
 
-    def found() -> Iterator[tuple]:
-        for row in resolved(rows()):
-            yield row
-            if marks:
-                yield from marks
-                marks.clear()
-        yield from marks
+    Rows with one pair get one new rank. Those of a stretch that a smaller document has become marks (without an
+    offset). Others stay open if their pair has a second stretch in another document, and drop out otherwise;
+    until that is known they are held, which only one document's rows can be.
+    """
 
-    yield from _batches(found(), _FOUND)
+    def __init__(self) -> None:
+        task = TaskContext.get()
+        self.rank = (task.partitionId() if task else 0) << 40
+        self.least = self.first_doc = None
+        self.classes, self.differs = 0, False
+        self.held: list[pa.RecordBatch] = []
+
+    def read(self, rows: pa.RecordBatch, new_pair: np.ndarray, new_stretch: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``rows`` are the columns of ``_FOUND`` but for the rank; the flags compare each row with the one before."""
+        doc = _numbers(rows.column(0))
+        new_stretch = new_stretch | new_pair
+        pair = np.cumsum(new_pair)
+        pairs = int(pair[-1]) + 1
+        least = np.concatenate(([self.least if self.least is not None else 0], doc[new_stretch]))[np.cumsum(new_stretch)]
+        marks = doc > least
+        classes = np.bincount(pair[new_stretch], minlength=pairs)
+        classes[0] += self.classes
+        first_doc = np.concatenate(([self.first_doc if self.first_doc is not None else 0], doc[new_pair]))
+        differs = np.bincount(pair, doc != first_doc[pair], pairs) > 0
+        differs[0] |= self.differs
+        shared = (classes > 1) & differs
+        if shared[0] and self.held:
+            yield from self.held
+        if shared[0] or pairs > 1:
+            self.held = []
+        rank = pa.array(self.rank + pair)
+        open_rows = ~marks & shared[pair]
+        waiting = ~marks & ~shared[pair] & (pair == pairs - 1)
+        whole = pa.RecordBatch.from_arrays([*rows.columns, rank], schema=_FOUND)
+        if open_rows.any():
+            yield whole.filter(pa.array(open_rows))
+        if waiting.any():
+            self.held.append(whole.filter(pa.array(waiting)))
+        if marks.any():
+            yield _marks(*(c.filter(pa.array(marks)) for c in rows.columns[:4]))
+        self.rank += pairs - 1
+        self.least, self.first_doc = int(least[-1]), int(first_doc[-1])
+        self.classes, self.differs = int(classes[-1]), bool(differs[-1])
+
+
+def _marks(doc: pa.Array, tag: pa.Array, lo: pa.Array, end: pa.Array) -> pa.RecordBatch:
+    none = [pa.nulls(len(doc), f.type) for f in list(_FOUND)[4:]]
+    return pa.RecordBatch.from_arrays([doc, tag, lo, end, *none], schema=_FOUND)
 
 
-def halves(doc: int, tag: int, lo: int, end: int, offset: int, rank: int, node: int, content: bytes) -> Iterator[tuple]:
+def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    workers.in_use("suffix_doubling")
+    groups, before = Groups(), None
+    for batch in batches:
+        known = batch.column(1).is_null()
+        already = batch.filter(known)
+        if len(already):
+            core, _, doc, tag, lo, _ = already.columns
+            yield _marks(doc, tag, lo, core.cast(pa.int32()))
+        batch = batch.filter(pa.compute.invert(known))
+        if not len(batch):
+            continue
+        core, stretch, doc, tag, lo, shape = (_numbers(c) for c in batch.columns)
+        new_pair, new_stretch = np.ones(len(core), bool), np.ones(len(core), bool)
+        new_pair[1:] = core[1:] != core[:-1]
+        new_stretch[1:] = stretch[1:] != stretch[:-1]
+        if before is not None:
+            new_pair[0], new_stretch[0] = core[0] != before[0], stretch[0] != before[1]
+        before = core[-1], stretch[-1]
+        end = (lo + (shape & 63) + THRESHOLD).astype(np.int32)
+        node = np.full(len(core), _LAST, np.int32)
+        columns = [*batch.columns[2:5], pa.array(end), pa.array((shape >> 6).astype(np.int32)), pa.array(node), pa.nulls(len(core), pa.binary())]
+        yield from groups.read(pa.RecordBatch.from_arrays(columns, names=_FOUND.names[:-1]), new_pair, new_stretch)
+
+
+def halves(
+    data: np.ndarray, begin: np.ndarray, doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, end: np.ndarray,
+    offset: np.ndarray, node: np.ndarray, rank: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
     """Rows of ``_PAIR`` for the two halves of the offsets that a row stands for, as far as it has strings there.
 
-    ``node`` is 64 times the first offset of the row's group plus the last; ``content`` are the bytes from lo to end.
+    ``node`` is 64 times the first offset of the row's group plus the last; its bytes begin at ``begin`` in ``data``.
     """
     least_offset = offset - (end - THRESHOLD - lo)
     low, high = node >> 6, node & 63
     middle = (low + high) // 2
-    for first, last in ((low, middle), (middle + 1, high)):
-        a, b = max(first, least_offset), min(last, offset)
-        if a > b:
+    for side, first, last in ((0, low, middle), (1, middle + 1, high)):
+        a, b = np.maximum(first, least_offset), np.minimum(last, offset)
+        some = np.nonzero((a <= b) & (low < high))[0]
+        if not len(some):
             continue
-        begin, stop = offset - b, offset - a + THRESHOLD
-        if last == middle:
-            following = b"r" + content[offset - high + THRESHOLD : offset - middle + THRESHOLD]
+        a, b = a[some], b[some]
+        skipped, length = offset[some] - b, b - a + THRESHOLD
+        at = begin[some]
+        # what the strings have in common grows to the right in the lower half, to the left in the upper
+        if side:
+            step_at, step = at + offset[some] - middle[some] - 1, middle[some] + 1 - low[some]
         else:
-            following = b"l" + content[offset - middle - 1 : offset - low]
-        yield rank, following, content[begin:stop], doc, tag, lo + begin, lo + stop, b, first * 64 + last
+            step_at, step = at + offset[some] - high[some] + THRESHOLD, high[some] - middle[some]
+        start = lo[some] + skipped
+        numbers = [
+            doc[some], tag[some].astype(np.int32), start.astype(np.int32), (start + length).astype(np.int32),
+            b.astype(np.int32), (first[some] * 64 + last[some]).astype(np.int32),
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(pa.array(c) for c in numbers), _slices(data, at + skipped, length),
+                pa.array(2 * rank[some] + side), _slices(data, step_at, step),
+            ],
+            schema=_PAIR,
+        )
 
 
 def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _batches((half for row in _tuples(batches) for half in halves(*row)), _PAIR)
+    for batch in batches:
+        if len(batch):
+            doc, tag, lo, end, offset, node = (_numbers(c) for c in batch.columns[:6])
+            data, at = _content(batch.column(6))
+            yield from halves(data, at[:-1], doc, tag, lo, end, offset, node, _numbers(batch.column(7)))
 
 
 def _cut_and_halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Halves of the open rows of the first round, with their bytes from the text."""
-
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for doc, tag, text, items in zip(*batch.columns):
-                text, doc, tag = text.as_py(), doc.as_py(), tag.as_py()
-                for item in items.as_py():
-                    lo, end = item["lo"], item["end"]
-                    yield from halves(doc, tag, lo, end, item["offset"], item["rank"], item["node"], text[lo:end])
-
-    yield from _batches(rows(), _PAIR)
+    for batch in batches:
+        if not len(batch):
+            continue
+        data, at = _content(batch.column(2))
+        items = batch.column(3)
+        row = np.repeat(np.arange(len(batch)), _numbers(pa.compute.list_value_length(items)))
+        lo, end, offset, rank, node = (_numbers(c) for c in items.flatten().flatten())
+        for few in range(0, len(row), _ROWS):
+            part = slice(few, few + _ROWS)
+            of = row[part]
+            doc, tag = _numbers(batch.column(0))[of], _numbers(batch.column(1))[of]
+            yield from halves(data, at[:-1][of] + lo[part], doc, tag, lo[part], end[part], offset[part], node[part], rank[part])
 
 
 def _next_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
-        for rank, following, content, doc, tag, lo, end, offset, node in _tuples(batches):
-            yield (rank, following), (offset, content), doc, tag, lo, end, offset, node, content
-
-    yield from _batches(resolved(rows()), _FOUND)
+    groups, before = Groups(), None
+    for batch in batches:
+        for few in range(0, len(batch), _ROWS):
+            part = batch.slice(few, _ROWS)
+            rank, offset = _numbers(part.column(7)), _numbers(part.column(4))
+            step, content = _padded(part.column(8), _LONGEST_STEP), _padded(part.column(6), _LONGEST)
+            keys = (rank, step, offset, content)
+            if before is None:
+                before = tuple(k[:1] for k in keys)
+                first = True
+            else:
+                first = False
+            rank, step, offset, content = (np.concatenate((b, k)) for b, k in zip(before, keys))
+            new_pair = (rank[1:] != rank[:-1]) | (step[1:] != step[:-1]).any(axis=1)
+            new_stretch = (offset[1:] != offset[:-1]) | (content[1:] != content[:-1]).any(axis=1)
+            if first:
+                new_pair[0] = True
+            before = tuple(k[-1:] for k in keys)
+            rows = pa.RecordBatch.from_arrays(part.columns[:7], names=_FOUND.names[:-1])
+            yield from groups.read(rows, new_pair, new_stretch)
 
 
 def without(text: bytes, marks: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -376,22 +458,22 @@ class RepeatedBytes:
         lists = self.marks.groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "end")).alias("marks"))
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows() -> Iterator[tuple]:
-                for batch in batches:
-                    for doc_id, text, marks in zip(*batch.columns):
-                        text = text.as_py()
-                        spans = [(m["lo"], m["end"]) for m in marks.as_py() or ()]
-                        left, removed, n = without(text, spans)
-                        yield doc_id.as_py(), len(text), removed, n, left
-
-            size, made = 0, []
-            for row in rows():
-                made.append(row)
-                size += len(row[4])
-                if size > 1 << 24 or len(made) == _ROWS:
-                    yield from _batches(made, kept)
-                    size, made = 0, []
-            yield from _batches(made, kept)
+            for batch in batches:
+                made, size = [], 0
+                for doc_id, text, marks in zip(*batch.columns):
+                    text = text.as_py()
+                    spans = [(m["lo"], m["end"]) for m in marks.as_py() or ()]
+                    left, removed, n = without(text, spans)
+                    made.append((doc_id.as_py(), len(text), removed, n, left))
+                    size += len(left)
+                    if size > 1 << 24:
+                        yield as_batch(made)
+                        made, size = [], 0
+                if made:
+                    yield as_batch(made)
+
+        def as_batch(made: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), kept)], schema=kept)
 
         kept = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
         rows = self.rows.withColumn("touched", self._touched(lists))

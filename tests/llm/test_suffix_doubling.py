@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from odd_rows import ROWS, empty, frame
 
@@ -65,8 +66,13 @@ def test_random_texts(spark, seed):
 def test_limits_of_batches_and_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_doubling, "_PIECE", 97)
     monkeypatch.setattr(suffix_doubling, "_COMBINED", 50)
+    monkeypatch.setattr(suffix_doubling, "_ROWS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     docs = random_docs(1)
-    assert found(spark, docs) == plain(docs)
+    try:
+        assert found(spark, docs) == plain(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_exactly_fifty_bytes(spark):
@@ -85,15 +91,19 @@ def test_halving_reaches_every_string():
     for low in range(35):
         for high in range(low, 35):
             content = bytes(range(50 + high - low))
-            open_rows, singles = [(1, 0, 0, len(content), high, 7, 34, content)], set()
+            open_rows, singles = [(content, 0, len(content), high, 34)], set()
             while open_rows:
-                row = open_rows.pop()
-                for rank, _, part, doc, tag, lo, end, offset, node in suffix_doubling.halves(*row):
-                    assert part == content[lo:end]
-                    if node >> 6 == node & 63:
-                        singles.add(lo)
-                    else:
-                        open_rows.append((doc, tag, lo, end, offset, rank, node, part))
+                content, *numbers = open_rows.pop()
+                lo, end, offset, node = (np.array([x]) for x in numbers)
+                one = np.array([1])
+                data = np.frombuffer(content, np.uint8)
+                for part in suffix_doubling.halves(data, one - 1, one, one, lo, end, offset, node, one):
+                    for row in part.to_pylist():
+                        assert row["bytes"] == bytes(range(row["lo"], row["end"]))
+                        if row["node"] >> 6 == row["node"] & 63:
+                            singles.add(row["lo"])
+                        else:
+                            open_rows.append((row["bytes"], row["lo"], row["end"], row["offset"], row["node"]))
             assert singles == set(range(high - low + 1))
 
 
