@@ -9,7 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.operators import chunks
+from reconlake.operators import chunks, keyset
+from reconlake.operators.even_chunks import EvenChunks
 from reconlake.operators.repair import repair_numbers
 from reconlake.session import scratch_path
 from reconlake.sinks import tables as sink
@@ -115,8 +116,11 @@ def export_remote_by_time(
         step = dt.timedelta(days=chunk_days) / reads_per_chunk
         start = first
         while start <= last:
-            ranges.append((start, start + step))
-            start += step
+            end = start + step if start <= dt.datetime.max - step else None
+            ranges.append((start, end))
+            if end is None:
+                break
+            start = end
     predicates = jdbc.time_predicates(column, ranges, literal=literal)
     rows = jdbc.by_predicates(spark, url, name, predicates, **options)
     chunked = chunks.with_time_chunk(rows, ts, first, chunk_days)
@@ -127,3 +131,100 @@ def export_remote_by_time(
         sink.write_parquet(chunked, path, [chunks.CHUNK])
     written = spark.read.schema(chunked.schema).parquet(path)
     return _finish(path, written, source_rows)
+
+
+def export_by_time_even(df: DataFrame, path: str, ts: str, rows_per_chunk: int = 1_000_000) -> Export:
+    """One folder per time range of about equal rows; rows without a timestamp go to chunk -1.
+
+    The ranges come from a histogram (see :mod:`reconlake.operators.even_chunks`), so empty spans make none,
+    and a busy hour is cut as far down as it has to be.
+    """
+    spark = df.sparkSession
+    source_rows = df.count()
+    chunked = EvenChunks.of(df, ts, rows_per_chunk).assign(df, ts)
+    return _write_chunks(spark, chunked, path, source_rows)
+
+
+def _write_chunks(spark: SparkSession, chunked: DataFrame, path: str, source_rows: int) -> Export:
+    if source_rows == 0:
+        sink.write_parquet(chunked, path)
+    else:
+        sink.write_balanced(chunked, path, [chunks.CHUNK])
+    return _finish(path, spark.read.schema(chunked.schema).parquet(path), source_rows)
+
+
+def export_remote_by_time_even(
+    spark: SparkSession,
+    url: str,
+    name: str,
+    ts: str,
+    path: str,
+    rows_per_chunk: int = 1_000_000,
+    connections: int = 8,
+    column: str | None = None,
+    literal: str = "TIMESTAMP '{}'",
+    part: str = "EXTRACT({part} FROM {column})",
+    **options: str,
+) -> Export:
+    """The same from a remote table: the database counts its rows per day, and per hour if a day is dense.
+
+    Only ranges that hold rows are read, by at most ``connections`` tasks at a time, however many ranges
+    there are.
+    """
+    column = column or ts
+    keys = ("YEAR", "MONTH", "DAY", "HOUR")
+
+    def counts(parts: tuple[str, ...]) -> DataFrame:
+        found = jdbc.period_counts(spark, url, name, column, None, parts, part, **options)
+        day = F.unix_date(F.make_date("dpYear", "dpMonth", "dpDay")).cast("bigint")
+        hour = F.col("dpHour").cast("bigint") if "HOUR" in parts else F.lit(0).cast("bigint")
+        return found.select(((day * 24 + hour) * 3_600_000_000).alias("begin"), F.col("source_count").alias("n"))
+
+    source_rows = int(jdbc.row_count(spark, url, name, **options).first()[0])
+    even = EvenChunks.of_counts(counts(keys[:3]), counts(keys), rows_per_chunk)
+    ranges = [(r["start_ts"], r["end_ts"]) for r in even.plan().orderBy(chunks.CHUNK).collect()]
+    predicates = jdbc.time_predicates(column, ranges, literal=literal)
+    rows = jdbc.by_predicates(spark, url, name, predicates, **options).coalesce(connections)
+    return _write_chunks(spark, even.assign(rows, ts), path, source_rows)
+
+
+def export_by_key(df: DataFrame, path: str, key: str, rows_per_chunk: int = 1_000_000) -> Export:
+    """One folder per range of the key; rows without a key go to chunk -1.
+
+    No sort and no row numbers: the limits of the ranges are exact quantiles, and a row's chunk follows from
+    its key.
+    """
+    limits = _limits(keyset.key_pages(df, key, rows_per_chunk))
+    chunked = keyset.with_key_page(df, key, [upto for _, upto in limits])
+    return _write_chunks(df.sparkSession, chunked, path, df.count())
+
+
+def _limits(pages: DataFrame) -> list[tuple]:
+    """(after_key, upto_key) of each page; one entry per page comes to the driver."""
+    return [(r["after_key"], r["upto_key"]) for r in pages.orderBy(chunks.CHUNK).collect()]
+
+
+def export_remote_by_key(
+    spark: SparkSession,
+    url: str,
+    name: str,
+    key: str,
+    path: str,
+    rows_per_chunk: int = 1_000_000,
+    connections: int = 8,
+    column: str | None = None,
+    **options: str,
+) -> Export:
+    """The same from a remote table, page by page as ``key > a AND key <= b``; no row is counted off or skipped.
+
+    The key column is read once to find the limits; at most ``connections`` pages are read at a time.
+    """
+    column = column or key
+    keys = jdbc.table(spark, url, f"(SELECT {column} FROM {name}) keys_only", **options).toDF(key)
+    staged = scratch_path(spark, "remote-keys")
+    source_rows = sink.write_parquet_counted(keys, staged)
+    limits = _limits(keyset.key_pages(spark.read.schema(keys.schema).parquet(staged), key, rows_per_chunk))
+    predicates = keyset.key_predicates(column, limits)
+    rows = jdbc.by_predicates(spark, url, name, predicates, **options).coalesce(connections)
+    chunked = keyset.with_key_page(rows, key, [upto for _, upto in limits])
+    return _write_chunks(spark, chunked, path, source_rows)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.operators import chunks
+from reconlake.operators import chunks, keyset
+from reconlake.operators.even_chunks import EvenChunks
 from reconlake.plans import exports
 from reconlake.queries import fixtures as fx
 from reconlake.queries import query
@@ -115,3 +116,78 @@ def chunk_time_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _GAPPED.frame(spark, sf_dir)
     export = exports.export_by_time(rows, scratch_path(spark, "chunks"), "ts", DAYS)
     return export.manifest.drop("path")
+
+
+# a fifth of the events within two hours, some without a time
+_BUSY = fx.Derived(
+    "events",
+    {
+        "event_id": "event_id",
+        "ts": "CASE WHEN event_type = 'view' THEN TIMESTAMP '2024-01-15 08:00:00' + (event_id % 7200) * INTERVAL 1 SECOND "
+        "WHEN event_type = 'error' AND event_id % 3 = 0 THEN NULL ELSE ts END",
+    },
+)
+_EVEN = {"lineitem": ("l_shipdate", 2_000), "events": ("ts", 250)}
+
+
+def _even_sql(name: str, table: str, ts: str, wanted: int) -> str:
+    """Day, hour, minute, second and instant: each level counts the rows inside of the dense cells of the one above."""
+    widths = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1)
+    levels, leaves = [], []
+    for i, w in enumerate(widths):
+        inside = "" if i == 0 else f" WHERE u - u % {widths[i - 1]} IN (SELECT b FROM {name}_{i - 1} WHERE n > {wanted})"
+        levels.append(f"{name}_{i} AS (SELECT u - u % {w} AS b, count(*) AS n FROM {name}_m{inside} GROUP BY 1)")
+        leaves.append(f"SELECT b, {w} AS w, n FROM {name}_{i}" + ("" if i == 4 else f" WHERE n <= {wanted}"))
+    return (
+        f"{name}_m AS (SELECT epoch_us({ts}::TIMESTAMP) AS u FROM {table} WHERE {ts} IS NOT NULL), {', '.join(levels)}, "
+        f"{name}_c AS (SELECT *, sum(n) OVER (ORDER BY b) - n AS before FROM ({' UNION ALL '.join(leaves)})), "
+        f"{name}_p AS (SELECT '{name}' AS table_name, (before // {wanted})::BIGINT AS chunk_id, make_timestamp(min(b)) AS start_ts, "
+        f"make_timestamp(max(b + w)) AS end_ts, sum(n)::BIGINT AS rows FROM {name}_c GROUP BY 2 "
+        f"UNION ALL SELECT '{name}', -1, NULL, NULL, count(*) FROM {table} WHERE {ts} IS NULL HAVING count(*) > 0)"
+    )
+
+
+@query(
+    "chunk_even_manifest",
+    fx.ctes(busy=_BUSY)
+    + ", "
+    + ", ".join(_even_sql(n, "busy" if n == "events" else n, *of) for n, of in _EVEN.items())
+    + " SELECT * FROM lineitem_p UNION ALL SELECT * FROM events_p",
+)
+def chunk_even_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports in time ranges of about equal rows: the planned ranges and the rows that were written to each."""
+    found = []
+    for name, (ts, wanted) in _EVEN.items():
+        rows = _BUSY.frame(spark, sf_dir) if name == "events" else fx.table(spark, sf_dir, name)
+        export = exports.export_by_time_even(rows, scratch_path(spark, "even"), ts, wanted)
+        plan = EvenChunks.of(rows, ts, wanted).plan().drop("rows")
+        counted = export.manifest.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), "rows")
+        found.append(counted.join(plan, "chunk_id", "left").select(F.lit(name).alias("table_name"), "*"))
+    return found[0].unionByName(found[1])
+
+
+_PAGED = {"lineitem": ("l_orderkey", 1_000), "customer": ("c_name", 400), "orders": ("o_orderdate", 700)}
+
+
+def _paged_sql(name: str, key: str, size: int) -> str:
+    return f"""SELECT '{name}' AS table_name, row_number() OVER (ORDER BY upto) - 1 AS chunk_id,
+       lag(k) OVER (ORDER BY upto)::VARCHAR AS after_key, k::VARCHAR AS upto_key,
+       (upto - coalesce(lag(upto) OVER (ORDER BY upto), 0))::BIGINT AS rows
+FROM (SELECT k, n, sum(n) OVER (ORDER BY k) AS upto, sum(n) OVER () AS total
+      FROM (SELECT {key} AS k, count(*) AS n FROM {name} GROUP BY 1))
+WHERE upto // {size} > (upto - n) // {size} OR upto = total"""
+
+
+@query("chunk_keyset_manifest", " UNION ALL ".join(_paged_sql(n, *of) for n, of in _PAGED.items()))
+def chunk_keyset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports by ranges of a number, a text and a date, keys repeated: the limits and the rows written between them."""
+    found = []
+    for name, (key, size) in _PAGED.items():
+        rows = fx.table(spark, sf_dir, name)
+        pages = keyset.key_pages(rows, key, size).drop("rows")
+        export = exports.export_by_key(rows, scratch_path(spark, "keys"), key, size)
+        counted = export.manifest.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), "rows")
+        limits = [F.col(c).cast("string").alias(c) for c in ("after_key", "upto_key")]
+        joined = counted.join(pages, "chunk_id", "left")
+        found.append(joined.select(F.lit(name).alias("table_name"), "chunk_id", *limits, "rows"))
+    return found[0].unionByName(found[1]).unionByName(found[2])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reconlake.functions import dates, status
 from reconlake.operators import counts as C
+from reconlake.operators import digest_tree
 from reconlake.operators import row_hashes as H
 from reconlake.operators.rollups import failed_tables
 from reconlake.plans.reports import write_report
@@ -467,3 +468,24 @@ def count_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.VALIDATION_FAILED,
     )
     return counts.withColumn("status", label)
+
+
+_TREE_COLUMNS = ", ".join(fx.ORDERS_SRC.columns)
+
+
+@query(
+    "recon_digest_tree",
+    fx.ctes(s=fx.ORDERS_SRC, t=fx.ORDERS_TGT)
+    + f""", u AS (SELECT *, 1 AS a, 0 AS b FROM s UNION ALL SELECT *, 0, 1 FROM t),
+g AS (SELECT {_TREE_COLUMNS}, sum(a) AS a, sum(b) AS b FROM u GROUP BY ALL HAVING sum(a) <> sum(b))
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS differing_rows,
+       sum(greatest(a - b, 0))::BIGINT AS rows_lost, sum(greatest(b - a, 0))::BIGINT AS rows_added
+FROM g GROUP BY 1""",
+)
+def recon_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest trees kept beside two copies of a table, compared day by day and bucket by bucket."""
+    paths = []
+    for df in fx.orders_pair(spark, sf_dir):
+        paths.append(scratch_path(spark, "digest-tree"))
+        digest_tree.write_tree(df, paths[-1], "o_orderdate", buckets=64)
+    return digest_tree.changed_days(digest_tree.compare_trees(spark, *paths))

@@ -59,9 +59,10 @@ def time_predicates(
     nulls: bool = True,
     literal: str = "TIMESTAMP '{}'",
 ) -> list[str]:
-    """Half-open ranges as predicates, with one more for rows without a timestamp."""
+    """Half-open ranges as predicates, with one more for rows without a timestamp; an end of None is open."""
     out = [
-        f"{column} >= {literal.format(a)} AND {column} < {literal.format(b)}" for a, b in ranges
+        f"{column} >= {literal.format(a)}" + ("" if b is None else f" AND {column} < {literal.format(b)}")
+        for a, b in ranges
     ]
     return out + [f"{column} IS NULL"] if nulls else out
 
