@@ -24,6 +24,8 @@ from reconlake.llm import workers
 #: Length of the vectors, and texts that are bundled together.
 DIMENSIONS = 1024
 _TEXTS = 128
+#: Trigrams whose vectors are looked up together.
+_BLOCK = 2048
 _SEED = 20240229
 _SYMBOLS = 64  # no letter, a to z, and 37 for all other letters (those of Latin-1 have one each)
 _PIECE = 1 << 20
@@ -77,6 +79,14 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 _LETTERS: list[np.ndarray] = []
 
 
+def _drop_tables() -> None:
+    _TABLE.clear()
+    _LETTERS.clear()
+
+
+workers.keeps("language", _drop_tables)
+
+
 def trigram_vectors(codes: np.ndarray) -> np.ndarray:
     """The bound vectors of trigrams: first letter rotated twice, second once, third not at all."""
     if not _LETTERS:
@@ -88,13 +98,24 @@ def trigram_vectors(codes: np.ndarray) -> np.ndarray:
 
 
 def bundle(texts: list[str | None]) -> np.ndarray:
-    """One row per text: the sum of its trigrams' vectors (all zero without letters)."""
+    """One row per text: the sum of its trigrams' vectors (all zero without letters).
+
+    Trigrams are taken in blocks of _BLOCK, so that memory does not grow with how many there are.
+    """
     parts = [trigrams(t) for t in texts]
-    seen, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    counts = np.zeros((len(texts), len(seen)), np.float32)
+    codes = np.concatenate([c for c, _ in parts])
     row = np.repeat(np.arange(len(texts)), [len(c) for c, _ in parts])
-    counts[row, place] = np.concatenate([n for _, n in parts])
-    return counts @ trigram_vectors(seen).astype(np.float32)
+    order = np.argsort(codes, kind="stable")
+    codes, row, n = codes[order], row[order], np.concatenate([n for _, n in parts])[order]
+    seen, first = np.unique(codes, return_index=True)
+    total = np.zeros((len(texts), DIMENSIONS), np.float32)
+    for at in range(0, len(seen), _BLOCK):
+        begin, end = first[at], first[at + _BLOCK] if at + _BLOCK < len(seen) else len(codes)
+        block = seen[at : at + _BLOCK]
+        counts = np.zeros((len(texts), len(block)), np.float32)
+        counts[row[begin:end], np.searchsorted(block, codes[begin:end])] = n[begin:end]
+        total += counts @ trigram_vectors(block).astype(np.float32)
+    return total
 
 
 @dataclass(frozen=True)
@@ -146,6 +167,7 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
     )
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.in_use("language")
         for batch in batches:
             by_language: dict[str, list] = {}
             for lang, whole in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -253,8 +275,9 @@ def identified(
 ) -> DataFrame:
     """The columns of the documents, without those that are ``und`` or score below ``least_score``, and those
     whose cosine with their language is below what ``least`` asks of it."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("t"))
-    judged = rows.withColumn("p", predictor(docs, found)("t"))
+    # the text is in each row once, also while Python judges it
+    rows = docs.select(F.struct("*").alias("row"))
+    judged = rows.withColumn("p", predictor(docs, found)(F.col("row").getField(text)))
     sure = (F.col("p.lang_pred") != UNDETERMINED) & (F.col("p.score") >= least_score)
     if least:
         asked = F.lit(None).cast("double")

@@ -106,6 +106,7 @@ class LineChunks:
 
     def _chunks(self) -> DataFrame:
         def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            workers.in_use("line_chunks")
             for batch in batches:
                 rows = [
                     (doc_id, key, number, xxhash.xxh3_128_digest(content))

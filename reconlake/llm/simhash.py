@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from reconlake.llm import workers
 from reconlake.llm.components import connected_components
+from reconlake.llm.filters import HashFilter
 from reconlake.llm.gray_index import near_pairs
 from reconlake.session import scratch_path
 
@@ -92,19 +93,31 @@ class NearDuplicates:
         return self.rows.join(of_fp, "fp").select("doc_id", digits, "component_id")
 
     def kept(self) -> DataFrame:
-        """The columns of the documents, one row of each component: the one with the smallest id."""
+        """The columns of the documents, one row of each component: the one with the smallest id.
+
+        A bounded filter of what goes, and of rows alike that would both stay, is tested where rows are read;
+        only rows that it finds are moved, to the exact list of what stays.
+        """
         rooted = self.rows.join(self._roots.select("fp", "root"), "fp")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key"))
         at = scratch_path(self.spark, "simhash-kept")
         chosen = rooted.groupBy("root").agg(first.alias("first"))
         chosen.select(
             F.col("first.doc_id").alias("k_id"), F.col("first.text_key").alias("k_text"), F.col("root").alias("k_root")
-        ).write.parquet(at)
-        keys = self.spark.read.parquet(at)
+        ).write.parquet(f"{at}/chosen")
+        keys = self.spark.read.schema("k_id long, k_text long, k_root long").parquet(f"{at}/chosen")
+        mine = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_key") == F.col("k_text"))
+        named = rooted.groupBy("root", "doc_id", "text_key").count().join(keys, F.col("root") == F.col("k_root"))
+        unsure = named.where(~mine | (F.col("count") > 1)).select(F.xxhash64("doc_id", "text_key").alias("h"))
+        unsure.write.parquet(f"{at}/unsure")
+        shared = self.spark.sparkContext.broadcast(HashFilter.of(self.spark.read.schema("h long").parquet(f"{at}/unsure"), "h"))
+
+        @F.pandas_udf(T.BooleanType())
+        def in_filter(hashes: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.might_have(hashes.to_numpy(np.int64).view(np.uint64)))
+
         rows = self.docs.select(F.struct("*").alias("row"), self._id.alias("r_id"), _text_key(self._text).alias("r_text"))
+        rows = rows.withColumn("unsure", in_filter(F.xxhash64("r_id", "r_text")))
         same = F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_text") == F.col("k_text"))
-        stay = rows.join(keys, same)
-        repeated = self.rows.groupBy("doc_id", "text_key").count().where("count > 1")
-        if not repeated.isEmpty():
-            stay = stay.dropDuplicates(["k_root"])
-        return stay.select("row.*")
+        met = rows.where("unsure").join(keys, same).dropDuplicates(["k_root"])
+        return rows.where("NOT unsure").select("row.*").unionByName(met.select("row.*"))

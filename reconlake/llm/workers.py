@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -29,9 +31,17 @@ def keeps(owner: str, drop: Callable[[], None]) -> None:
     _TABLES[owner] = drop
 
 
+_LAST: list[str] = []
+
+
 def in_use(owner: str) -> None:
-    """Drops the tables of all other operators: a worker that serves one stage after the other then
-    holds those of one only."""
+    """Drops the tables of all other operators, and hands back what Arrow keeps of them: a worker that serves
+    one stage after the other then holds those of one only."""
+    if _LAST == [owner]:
+        return
+    _LAST[:] = [owner]
     for name, drop in _TABLES.items():
         if name != owner:
             drop()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
