@@ -162,6 +162,7 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
     languages and every prediction is ``und``.
     """
     workers.importable(docs.sparkSession)
+    workers.small_batches(docs.sparkSession)
     known = docs.where(~held_out(F.col(f"`{id_column}`")) & F.col(f"`{language}`").isNotNull()).select(
         F.col(f"`{language}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")
     )
@@ -240,6 +241,7 @@ def least_nearness(
 def predictor(docs: DataFrame, found: Profiles):
     """A function from a text column to a struct of lang_pred, score and nearness."""
     workers.importable(docs.sparkSession)
+    workers.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(found)
 
     @F.pandas_udf("lang_pred string, score double, nearness double")

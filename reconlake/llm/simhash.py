@@ -70,6 +70,7 @@ class NearDuplicates:
         self, docs: DataFrame, limit: int = MOST_DIFFERENCES, text: str = "text", id_column: str = "doc_id"
     ):
         workers.importable(docs.sparkSession)
+        workers.small_batches(docs.sparkSession)
         self.docs, self.spark = docs, docs.sparkSession
         self._id, self._text = F.col(f"`{id_column}`"), F.col(f"`{text}`")
         at = scratch_path(self.spark, "simhash")

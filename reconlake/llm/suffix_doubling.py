@@ -167,6 +167,8 @@ def _combined(gram: np.ndarray, stretch: np.ndarray, doc: np.ndarray, tag: np.nd
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     workers.in_use("suffix_doubling")
+    held: list[tuple[np.ndarray, ...]] = []
+    count = 0
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         tags = batch.column(1).to_numpy(zero_copy_only=False)
@@ -176,8 +178,6 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
-        held: list[tuple[np.ndarray, ...]] = []
-        count = 0
         for lo, hi, a, gram, stretch in anchors(data, offsets[1:]):
             row = np.searchsorted(offsets[1:], lo, "right")
             held.append((gram, stretch, ids[row], tags[row], lo - offsets[row], (a - lo) * 64 + (hi - lo)))
@@ -185,8 +185,8 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if count >= _COMBINED:
                 yield _combined(*(np.concatenate(c) for c in zip(*held)))
                 held, count = [], 0
-        if held:
-            yield _combined(*(np.concatenate(c) for c in zip(*held)))
+    if held:
+        yield _combined(*(np.concatenate(c) for c in zip(*held)))
 
 
 def _numbers(column: pa.Array) -> np.ndarray:

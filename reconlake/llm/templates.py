@@ -205,6 +205,7 @@ class Leaks:
         self.docs, self.spark = docs, docs.sparkSession
         self._id, self._text, self.least_share = F.col(f"`{id_column}`"), F.col(f"`{text}`"), least_share
         workers.importable(self.spark)
+        workers.small_batches(self.spark)
         self.at = scratch_path(self.spark, "leaks")
         items = benchmark.select(
             F.col(f"`{item_column}`").cast("long").alias("item_id"), F.col(f"`{item_text}`").alias("t")

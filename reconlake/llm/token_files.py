@@ -108,6 +108,7 @@ def write_tokens(
     """
     spark = docs.sparkSession
     workers.importable(spark)
+    workers.small_batches(spark)
     vocabulary = bpe.load_vocabulary(tokenizer_path)
     dtype = _id_type(vocabulary, end_id)
     named = _named(docs, text, id_column)
@@ -205,6 +206,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     one task, one per written partition.
     """
     workers.importable(spark)
+    workers.small_batches(spark)
     dictionary, id_bytes = _opened(spark, path)
     shared = spark.sparkContext.broadcast((dictionary, id_bytes))
 
@@ -249,6 +251,7 @@ def read_documents(spark: SparkSession, path: str, wanted: DataFrame | None = No
     Only the frames that the index names are cut from the blocks and decompressed.
     """
     workers.importable(spark)
+    workers.small_batches(spark)
     dictionary, id_bytes = _opened(spark, path)
     shared = spark.sparkContext.broadcast((dictionary, id_bytes))
     index = spark.read.parquet(f"{path}/index")

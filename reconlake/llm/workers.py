@@ -23,6 +23,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
 
 
+#: Bytes of an Arrow batch of texts: neither side of a Python worker holds more of them at once.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limits batches by size, not only by their 10,000 rows, unless the session has a lower limit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 _TABLES: dict[str, Callable[[], None]] = {}
 
 
