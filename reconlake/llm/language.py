@@ -256,7 +256,8 @@ def predictor(docs: DataFrame, found: Profiles):
                 nearness += near.tolist()
             yield pd.DataFrame({"lang_pred": names, "score": scores, "nearness": nearness})
 
-    return predict
+    # evaluated once per row: a filter on the result is not pushed below it as a second evaluation
+    return predict.asNondeterministic()
 
 
 def identify(
