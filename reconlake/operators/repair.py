@@ -162,8 +162,9 @@ def repaired_column(c: Column, kind: str, declared: str) -> Column:
 
 
 def misfits(decisions: list[Decision]) -> dict[str, int]:
-    """Values per repaired column that do not have the form of the others."""
-    found = {d.column: d.values - d.readable for d in decisions if d.kind in _READERS}
+    """Values per declared column that no date was read from: those without the form of the others, and all of
+    a column that is left as it is, because no form has the majority."""
+    found = {d.column: d.values - (d.readable if d.kind in _READERS else 0) for d in decisions if d.kind != "all_null"}
     return {name: n for name, n in found.items() if n}
 
 

@@ -25,6 +25,10 @@ from reconlake.operators.counts import (
 )
 
 
+#: The list of differing buckets is broadcast; so many take 16 MB.
+MOST_BUCKETS = 1 << 20
+
+
 def hash_profile(
     source: DataFrame,
     target: DataFrame,
@@ -172,8 +176,8 @@ def symmetric_difference(
 
 
 def _bucketed(df: DataFrame, mode: str, buckets: int) -> DataFrame:
-    if buckets < 1 or buckets & (buckets - 1):
-        raise ValueError("the number of buckets must be a power of two")
+    if buckets < 1 or buckets & (buckets - 1) or buckets > MOST_BUCKETS:
+        raise ValueError(f"the number of buckets must be a power of two, {MOST_BUCKETS} at most")
     keyed = df.select(_fingerprint(df, mode, "||"))
     # a bit mask is never NULL, unlike a remainder: a join on it adds no null filter that
     # would hash every row again
@@ -199,7 +203,7 @@ def differing_buckets(
     A bucket is summed up by its row count and digests, so one record per task and bucket is
     shuffled instead of one per row.
     """
-    target = align_to(target, source.columns)
+    source, target = same_types(source, align_to(target, source.columns))
     sides = [
         _bucketed(df, mode, buckets).select(
             "bucket", F.lit(sign).cast("bigint").alias("n"), *_digest_parts(sign)
@@ -224,7 +228,7 @@ def differing_rows(
     if buckets is None:
         profile = hash_profile(source, target, mode)
     else:
-        target = align_to(target, source.columns)
+        source, target = same_types(source, align_to(target, source.columns))
         suspects = F.broadcast(differing_buckets(source, target, mode, buckets))
         profile = side_counts(
             *[

@@ -15,6 +15,7 @@ from reconlake.plans.loads import guarded_load, verify_counts
 from reconlake.queries import fixtures as fx
 from reconlake.queries import query
 from reconlake.session import scratch_path
+from reconlake.sources import files
 
 SINCE = "1900-01-01"
 _LONG_AGO = "o_orderdate - INTERVAL 200 YEAR"
@@ -292,3 +293,59 @@ def recon_hash_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CAST({day} AS timestamp_ntz) AS d", "map('b', 2, 'a', 1) AS m",
     )
     return H.compare_rows(source, target)
+
+
+def _unread_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted: a third of the values in each of three forms, so that none has the majority."""
+    seconds = "CAST(unix_seconds(CAST(ts AS timestamp)) AS bigint)"
+    at = (
+        f"CASE event_id % 3 WHEN 0 THEN {seconds} WHEN 1 THEN {seconds} * 1000 "
+        "ELSE CAST(date_format(ts, 'yyyyMMdd') AS bigint) END AS happened"
+    )
+    return fx.table(spark, sf_dir, "events").selectExpr("event_id", at)
+
+
+@query(
+    "load_unread_dates",
+    """SELECT 'VALIDATION_FAILED' AS status, count(*) AS source_rows, count(*) AS target_rows,
+  count(ts) AS unread FROM events""",
+)
+def load_unread_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared date that no form fits is loaded as it is, and the load says so."""
+    table = f"unread_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
+    r = guarded_load(_unread_rows(spark, sf_dir), table, {"happened": "timestamp"})
+    spark.sql(f"DROP TABLE {table}")
+    row = (r.status, r.source_rows, r.target_rows, r.misfits.get("happened", 0))
+    return spark.createDataFrame([row], "status string, source_rows bigint, target_rows bigint, unread bigint")
+
+
+@query(
+    "recon_hash_bucketed_drift",
+    """SELECT count(*) FILTER (o_orderkey % 100 = 0) AS lost, 0 AS added FROM orders""",
+)
+def recon_hash_bucketed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket by bucket, in two types that hold the same values; planted: every hundredth order is lost."""
+    orders = fx.table(spark, sf_dir, "orders")
+    price = "CAST(o_totalprice AS decimal(12,2))"
+    source = orders.selectExpr("o_orderkey AS k", f"{price} AS p")
+    target = orders.where("o_orderkey % 100 <> 0").selectExpr("CAST(o_orderkey AS decimal(20,0)) AS k", f"CAST({price} AS decimal(38,18)) AS p")
+    found = H.differing_rows(source, target, buckets=1024)
+    lost = F.greatest(F.col("source_count") - F.col("target_count"), F.lit(0))
+    added = F.greatest(F.col("target_count") - F.col("source_count"), F.lit(0))
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in ((lost, "lost"), (added, "added"))]
+    return found.agg(*total)
+
+
+@query(
+    "source_file_ledger",
+    "SELECT count(*) AS footer_rows, count(*) AS decoded_rows, 0 AS short_files FROM lineitem",
+)
+def source_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by footer and rows decoded, over the files of an export."""
+    path = scratch_path(spark, "ledger")
+    fx.table(spark, sf_dir, "lineitem").repartition(7).write.parquet(path)
+    found = files.file_ledger(spark, path)
+    short = F.coalesce(F.col("decoded_rows") < F.col("footer_rows"), F.lit(True))
+    return found.agg(
+        F.sum("footer_rows").alias("footer_rows"), F.sum("decoded_rows").alias("decoded_rows"), F.count_if(short).alias("short_files")
+    )

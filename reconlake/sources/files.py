@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reconlake.functions.columns import col
 from reconlake.operators.discovery import SHEET
 
 LOAD_SHEET = "schema_name string, table_name string, s3_path string"
@@ -34,28 +35,56 @@ def parquet(
     return reader.parquet(*paths)
 
 
-def skipped_files(
+def _plain_path(path: Column) -> Column:
+    return F.regexp_replace(path, "^[a-z]+:/+", "/")
+
+
+def file_ledger(
     spark: SparkSession, *paths: str, schema: str | T.StructType | None = None
 ) -> DataFrame:
-    """The Parquet files below the paths from which a tolerant read gets no row: file_path.
+    """Per Parquet file below the paths: file_path, rows by its footer, and rows that a tolerant read decodes.
 
-    Listing reads no content, and reading the rows no column. A file that really has no rows is
-    listed too.
+    Every column is decoded, so a file with a good footer and damaged pages has fewer rows than its
+    footer says. ``footer_rows`` is NULL if the footer cannot be read, or says that there are none.
     """
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(list(paths))
-        .select(F.col("path").alias("file_path"))
+        .select(F.col("path").alias("file_path"), _plain_path(F.col("path")).alias("name"))
     )
     read = parquet(spark, *paths, tolerant=True, schema=schema)
-    seen = read.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-    name = F.regexp_replace("file_path", "^[a-z]+:/+", "/")
+    name = _plain_path(F.col("_metadata.file_path")).alias("name")
+    # without a column, rows are counted from the footers; with a hash over all columns, each page is read
+    footers = read.select(name).groupBy("name").agg(F.count(F.lit(1)).alias("footer_rows"))
+    hashable = [
+        F.to_json(F.struct(col(f.name))) if isinstance(f.dataType, T.MapType) else col(f.name)
+        for f in read.schema.fields
+    ]
+    decoded = read.select(name, F.xxhash64(*hashable).alias("row")).groupBy("name").agg(
+        # a plain count of the hash, which is never NULL, would be answered without reading a page
+        F.when(F.bit_xor("row").isNotNull(), F.count(F.lit(1))).alias("decoded_rows")
+    )
+    return (
+        listed.join(footers, "name", "left")
+        .join(decoded, "name", "left")
+        .select("file_path", "footer_rows", F.coalesce("decoded_rows", F.lit(0).cast("bigint")).alias("decoded_rows"))
+    )
+
+
+def skipped_files(
+    spark: SparkSession, *paths: str, schema: str | T.StructType | None = None
+) -> DataFrame:
+    """The Parquet files below the paths of which a tolerant read misses rows: file_path, rows it lacks.
+
+    ``lost_rows`` is NULL if the footer does not tell. A file that really has no rows is listed too.
+    """
+    short = F.col("footer_rows").isNull() | (F.col("decoded_rows") < F.col("footer_rows"))
     return (
-        listed.withColumn("name", name)
-        .join(seen.select(name.alias("name")), "name", "left_anti")
-        .select("file_path")
+        file_ledger(spark, *paths, schema=schema)
+        .where(short)
+        .select("file_path", (F.col("footer_rows") - F.col("decoded_rows")).alias("lost_rows"))
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 
 import pytest
@@ -10,6 +11,7 @@ from conftest import plan_of
 from reconlake.operators import audit
 from reconlake.operators import counts as C
 from reconlake.operators import repair as R
+from reconlake.operators import row_hashes as H
 from reconlake.operators.incremental import incremental_rows
 from reconlake.plans import gate, loads, reports
 from reconlake.session import discard, scratch_path
@@ -94,6 +96,34 @@ def test_a_tolerant_read_names_what_it_skipped(spark, schema, half_corrupt):
     assert result.status == "VALIDATION_FAILED" and result.target_rows < 1000
 
 
+def test_a_file_with_damaged_pages_is_named(spark):
+    """Footer and magic numbers are good; the pages in between are not."""
+    path = scratch_path(spark, "pages")
+    rows = spark.range(0, 20000, 1, 4).selectExpr("id", "concat('some text ', id) AS t")
+    rows.write.option("compression", "snappy").parquet(path)
+    named = sorted(glob.glob(f"{path.removeprefix('file://')}/*.parquet"))
+    with open(named[1], "r+b") as damaged:
+        damaged.seek(4)
+        damaged.write(os.urandom(3000))
+    schema = "id bigint, t string"
+    skipped = files.skipped_files(spark, path, schema=schema).collect()
+    assert [(os.path.basename(r.file_path), r.lost_rows) for r in skipped] == [(os.path.basename(named[1]), 5000)]
+    ledger = files.file_ledger(spark, path, schema=schema).collect()
+    assert sum(r.footer_rows for r in ledger) == 20000 and sum(r.decoded_rows for r in ledger) == 15000
+
+
+def test_a_date_that_stays_unread_fails_a_load(spark, schema):
+    df = spark.createDataFrame([(1, 1700000000), (2, 1700000001), (3, 1700000000123), (4, 20240101)], "k int, at bigint")
+    result = loads.guarded_load(df, f"{schema}.t", {"at": "timestamp"})
+    assert (result.status, result.misfits) == ("VALIDATION_FAILED", {"at": 4})
+
+
+def test_buckets_have_a_bound(spark):
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="power of two"):
+        H.differing_rows(df, df, buckets=1 << 21)
+
+
 def test_misfits_fail_a_load(spark, schema):
     df = spark.createDataFrame([(1, 1700000000), (2, 1700000001), (3, 1700000000123)], "k int, at bigint")
     result = loads.guarded_load(df, f"{schema}.t", {"at": "timestamp"})
