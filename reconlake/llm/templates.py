@@ -5,7 +5,11 @@ lower-cased without punctuation. Windows of five words of a benchmark item are l
 twice, as they are written and as templates, so that a question asked anew with other numbers or
 names is found too; what fills the placeholders must then agree: one value of the item stands for one
 value in the document, and the other way round. An item is in a document if 0.8 or more of its
-windows are.
+windows are. An item of fewer than five words is one window, compared as it is written.
+
+A capitalised word that begins a sentence may be a name or not, so windows with such words have two
+templates, one for either reading. A window of hardly any ordinary word says nothing alone: it counts
+where it stands in one run with windows of the benchmark that have more.
 
 Documents stay where they are read. Their windows are tested against a Bloom filter of the
 benchmark's windows (its size has a bound, whatever the benchmark's), and only windows that may match become
@@ -20,6 +24,7 @@ import math
 import re
 import struct
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,7 +41,7 @@ from reconlake.session import scratch_path
 
 WINDOW = 5
 LEAST_SHARE = 0.8
-#: A template window needs so many ordinary words; others are compared as they are written only.
+#: A template window with fewer ordinary words counts only next to others that match.
 LEAST_WORDS = 2
 # Units that count as placeholders after a number, or joined to it.
 UNITS = frozenset(
@@ -88,40 +93,75 @@ workers.keeps("templates", _KNOWN.drop)
 
 
 def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: hash as written (lower case), hash in canonical form, and kind of placeholder (0: none).
+    """Per word: hash as written (lower case), kind of placeholder (0: none), and whether it may be no name.
 
-    A capitalised word is a name unless it begins a sentence; a unit counts only right after a number.
+    A capitalised word may be no name if it begins a sentence; a unit counts only right after a number.
     """
     rows = np.frombuffer(b"".join(map(_KNOWN.__getitem__, text.split())), _RECORD)
     kind = rows["kind"].copy()
+    doubtful = np.zeros(len(kind), bool)
     if len(kind):
         begins = np.concatenate(([True], rows["ends"][:-1].astype(bool)))
         after_number = np.concatenate(([False], kind[:-1] == _NUM))
-        kind[(kind == _NAMED) & begins] = _WORD
+        doubtful = (kind == _NAMED) & begins
         kind[(kind == _AFTER_NUM) & ~after_number] = _WORD
-    form = np.where(kind > 0, _PLACEHOLDERS[kind], rows["plain"])
-    return np.ascontiguousarray(rows["plain"]), form, kind
+    return np.ascontiguousarray(rows["plain"]), kind, doubtful
 
 
-def _window_hashes(words: np.ndarray) -> np.ndarray:
-    n = len(words) - WINDOW + 1
+def _window_hashes(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
+    n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i, factor in enumerate(_FACTORS):
-        total += (words[i : i + n] ^ (words[i : i + n] >> np.uint64(29))) * factor
+    mixed = words ^ (words >> np.uint64(29))
+    total = np.full(n, WINDOW - length, np.uint64)
+    for i, factor in enumerate(_FACTORS[:length]):
+        total += mixed[i : i + n] * factor
     total ^= total >> np.uint64(32)
     return total * np.uint64(0xD6E8FEB86659FD93)
 
 
-def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per window: hash as written, hash as a template, whether the template may be used, and kinds."""
-    plain, form, kind = canonical(text)
-    n = max(len(plain) - WINDOW + 1, 0)
-    kinds = np.lib.stride_tricks.sliding_window_view(kind, WINDOW) if n else np.zeros((0, WINDOW), np.uint8)
-    filled = (kinds > 0).sum(axis=1)
-    usable = (filled > 0) & (filled <= WINDOW - LEAST_WORDS)
-    return _window_hashes(plain), _window_hashes(form), usable, kinds
+class Template(NamedTuple):
+    """One reading of a text's words, per window: hash, kinds of its words, and how it may be used."""
+
+    hashes: np.ndarray
+    kinds: np.ndarray
+    telling: np.ndarray
+    dense: np.ndarray
+
+
+def _template(plain: np.ndarray, kind: np.ndarray) -> Template:
+    kinds = np.lib.stride_tricks.sliding_window_view(kind, WINDOW)
+    before = np.concatenate(([0], np.cumsum(kind > 0)))
+    filled = before[WINDOW:] - before[:-WINDOW]
+    form = np.where(kind > 0, _PLACEHOLDERS[kind], plain)
+    dense = filled > WINDOW - LEAST_WORDS
+    return Template(_window_hashes(form), kinds, (filled > 0) & ~dense, dense)
+
+
+def windows(text: str) -> tuple[np.ndarray, np.ndarray, list[Template]]:
+    """Hashes of the words and of their windows as written, and the templates of the text's readings.
+
+    The second reading, in which every doubtful word is a name, uses only the windows with such words.
+    """
+    plain, kind, doubtful = canonical(text)
+    if len(plain) < WINDOW:
+        return plain, np.zeros(0, np.uint64), []
+    readings = [_template(plain, np.where(doubtful, _WORD, kind))]
+    if doubtful.any():
+        before = np.concatenate(([0], np.cumsum(doubtful)))
+        other = before[WINDOW:] > before[:-WINDOW]
+        named = _template(plain, kind)
+        readings.append(named._replace(telling=named.telling & other, dense=named.dense & other))
+    return plain, _window_hashes(plain), readings
+
+
+def _near_telling(readings: list[Template], may: list[np.ndarray]) -> list[np.ndarray]:
+    """The windows that may match, dense ones only in a run with a telling one."""
+    may = [m & (r.telling | r.dense) for r, m in zip(readings, may)]
+    run = np.cumsum(~np.logical_or.reduce(may))
+    telling = np.logical_or.reduce([m & r.telling for r, m in zip(readings, may)])
+    counts = np.bincount(run[telling], minlength=int(run[-1]) + 1)
+    return [m & (counts[run] > 0) for m in may]
 
 
 def _slots(words: np.ndarray, kinds: np.ndarray, at: int) -> list[int]:
@@ -130,9 +170,9 @@ def _slots(words: np.ndarray, kinds: np.ndarray, at: int) -> list[int]:
 
 _ITEM = pa.schema(
     [("item_id", pa.int64()), ("item_key", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()),
-     ("template", pa.bool_()), ("slots", pa.list_(pa.int64()))]
+     ("template", pa.bool_()), ("slots", pa.list_(pa.int64())), ("words", pa.int32())]
 )
-_ITEM_DDL = "item_id long, item_key long, place int, n int, hash long, template boolean, slots array<long>"
+_ITEM_DDL = "item_id long, item_key long, place int, n int, hash long, template boolean, slots array<long>, words int"
 _HIT = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
 _HIT_DDL = "doc_id long, text_key long, hash long, slots array<long>"
 
@@ -141,13 +181,19 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         rows = []
         for item_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-            plain, form, usable, kinds = windows(text)
-            words = canonical(text)[0]
-            written, templates = plain.astype(np.int64).tolist(), form.astype(np.int64).tolist()
-            for at in range(len(plain)):
-                rows.append((item_id, key, at, len(plain), written[at], False, []))
-                if usable[at]:
-                    rows.append((item_id, key, at, len(plain), templates[at], True, _slots(words, kinds, at)))
+            words, plain, readings = windows(text)
+            if 0 < len(words) < WINDOW:
+                whole = _window_hashes(words, len(words)).astype(np.int64).tolist()
+                rows.append((item_id, key, 0, 1, whole[0], False, [], len(words)))
+            written = plain.astype(np.int64).tolist()
+            rows += [(item_id, key, at, len(plain), h, False, [], WINDOW) for at, h in enumerate(written)]
+            # an item without a telling window has no template, as written only is it told from others
+            if any(r.telling.any() for r in readings):
+                for reading in readings:
+                    signed = reading.hashes.astype(np.int64)
+                    for at in np.nonzero(reading.telling | reading.dense)[0].tolist():
+                        slots = _slots(words, reading.kinds, at)
+                        rows.append((item_id, key, at, len(plain), int(signed[at]), True, slots, WINDOW))
         columns = list(zip(*rows)) or [()] * len(_ITEM)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ITEM)], schema=_ITEM)
 
@@ -185,8 +231,9 @@ def text_key(text: Column) -> Column:
 class Leaks:
     """Which benchmark items stand in which documents.
 
-    Defined cases: NULL and empty texts, and items of fewer than five words, have no windows and never
-    match; a NULL id of an item or document stays NULL in the result; repeated documents are reported once
+    Defined cases: NULL texts and texts without words have no windows and never match; an item of one to four
+    words is in every document that has these words in a row; an item none of whose windows has
+    two ordinary words and a placeholder is found as written only; a NULL id of an item or document stays NULL in the result; repeated documents are reported once
     per id and text; every distinct text under an item's id (NULL included) is searched, and the id is
     reported once per document, with the greatest share of its texts; empty tables give no pairs; other
     columns are not read.
@@ -220,6 +267,8 @@ class Leaks:
 
     def _find_hits(self) -> None:
         shared = self.spark.sparkContext.broadcast(HashFilter.of(self.items, "hash"))
+        # lengths of the items that are one short window: numbers below five
+        short = sorted(r.words for r in self.items.where(F.col("words") < WINDOW).select("words").distinct().collect())
 
         def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             workers.in_use("templates")
@@ -227,15 +276,15 @@ class Leaks:
             for batch in batches:
                 ids, keys, hashes, slots = [], [], [], []
                 for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                    whole = text.as_py()
-                    plain, form, usable, kinds = windows(whole)
-                    written = np.unique(plain[possible(plain)]).astype(np.int64).tolist()
-                    rows = [(h, ()) for h in written]
-                    places = np.nonzero(usable & possible(form))[0].tolist()
-                    if places:
-                        words = canonical(whole)[0]
-                        signed = form.astype(np.int64)
-                        rows += sorted({(int(signed[p]), tuple(_slots(words, kinds, p))) for p in places})
+                    words, plain, readings = windows(text.as_py())
+                    found = [plain, *(_window_hashes(words, k) for k in short)]
+                    rows = [(h, ()) for f in found for h in np.unique(f[possible(f)]).astype(np.int64).tolist()]
+                    if readings:
+                        near = _near_telling(readings, [possible(r.hashes) for r in readings])
+                        for reading, places in zip(readings, near):
+                            signed = reading.hashes.astype(np.int64)
+                            at = np.nonzero(places)[0].tolist()
+                            rows += sorted({(int(signed[p]), tuple(_slots(words, reading.kinds, p))) for p in at})
                     ids += [doc_id] * len(rows)
                     keys += [key] * len(rows)
                     hashes += [h for h, _ in rows]

@@ -42,6 +42,109 @@ def test_asked_anew_with_other_values(spark):
     assert (4, 0) not in got and (5, 0) not in got
 
 
+def plain_templates(docs, items):
+    """Pairs by search of every document for every item, windows as tuples of words and placeholders."""
+
+    def read(text):
+        words, kinds, begins = [], [], True
+        for m in re.finditer(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?:]", text):
+            t = m[0]
+            if t in ".!?:":
+                begins = True
+                continue
+            unit = t.lower() in templates.UNITS
+            kind = "#" if t[0].isdigit() else "" if unit else "?" if t.istitle() and len(t) > 1 and begins else ""
+            if unit and kinds and kinds[-1] == "#":
+                kind = "u"
+            if not kind and not unit and t.istitle() and len(t) > 1:
+                kind = "N"
+            words.append(t.lower())
+            kinds.append(kind)
+            begins = False
+        made = []
+        for at in range(len(words) - 4):
+            part, kind = words[at : at + 5], kinds[at : at + 5]
+            forms = {}
+            for doubt in ("", "N"):
+                k = [doubt if x == "?" else x for x in kind]
+                filled = sum(map(bool, k))
+                if filled and (doubt == "" or "?" in kind):
+                    forms[tuple(x or w for x, w in zip(k, part))] = (tuple(w for x, w in zip(k, part) if x), filled > 3)
+            made.append((tuple(part), forms))
+        return words, made
+
+    def holds(doc, item):
+        (d_words, d), (i_words, i) = doc, item
+        if len(i_words) < 5:
+            return bool(i_words) and any(d_words[n : n + len(i_words)] == i_words for n in range(len(d_words)))
+        written = {p for p, _ in d}
+        if sum(p in written for p, _ in i) >= 0.8 * len(i) - 1e-9:
+            return True
+        if all(dense for _, forms in i for _, dense in forms.values()):
+            return False
+        fillings = {}
+        for _, forms in d:
+            for form, (slots, _) in forms.items():
+                fillings.setdefault(form, set()).add(slots)
+        met = [(n, (), ()) for n, (p, _) in enumerate(i) if p in written]
+        for n, (_, forms) in enumerate(i):
+            met += [(n, slots, theirs) for form, (slots, _) in forms.items() for theirs in fillings.get(form, ())]
+        votes = {}
+        for _, ours, theirs in met:
+            for pair in zip(ours, theirs):
+                votes[pair] = votes.get(pair, 0) + 1
+        chosen = {}
+        for ours, theirs in sorted(votes, key=lambda pair: -votes[pair]):
+            if ours not in chosen and theirs not in chosen.values():
+                chosen[ours] = theirs
+        right = {n for n, ours, theirs in met if all(chosen.get(a) == b for a, b in zip(ours, theirs))}
+        return len(right) >= 0.8 * len(i) - 1e-9
+
+    docs, items = [read(t) for t in docs], [read(t) for t in items]
+    return {(a, b) for a, d in enumerate(docs) for b, i in enumerate(items) if holds(d, i)}
+
+
+QUESTIONS = [
+    "{A} has {n} apples. {A} buys {m} more apples at the shop. How many apples does {A} have now?",
+    "A train leaves {B} at {n} and reaches {A} after {m} hours. How fast is it if the way is {k} km long?",
+    "{A}, {B} and {C} share {n} coins, {m} stones and {k} nuts. {A} takes {k} nuts. What is left for {B}?",
+    "What is {n} {m} {k} {n} {m} {k} put in order? {A} says {k} {m} {n} {k} {m} {n} and {B} says no such thing.",
+    "{C} reads {n} pages on the first day and {m} pages on each later day. When has {C} read {k} pages?",
+]
+VALUES = [
+    dict(A="Tom", B="Paris", C="Ann", n=5, m=7, k=310),
+    dict(A="Anna", B="Madrid", C="Bob", n=12, m=3, k=95),
+    dict(A="Omar", B="Oslo", C="Wei", n=48, m=16, k=4),
+]
+
+
+def test_questions_asked_anew_against_plain_search(spark):
+    items = [q.format(**VALUES[0]) for q in QUESTIONS]
+    asked = [(n, f"Some words stand before it. {q.format(**v)} And some come later.") for n, q in enumerate(QUESTIONS) for v in VALUES]
+    mixed = [q.format(**VALUES[1]).replace("Anna", "Tim", 1).replace("Bob", "Sue", 1).replace(" 3 ", " 8 ", 1) for q in QUESTIONS]
+    clean = [
+        "The shop sells apples. Anna has no time today. How many of us do have time now?",
+        "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 and Tom Ann Eve Bob Sue Tim Jim Kim",
+        "A train leaves at 5 and it is late. The way to the shop is 310 km long.",
+    ]
+    docs = [t for _, t in asked] + mixed + clean
+    got = set(found(spark, docs, items))
+    assert got == plain_templates(docs, items)
+    planted = {(at, n) for at, (n, _) in enumerate(asked)}
+    assert planted <= got and all(d < len(asked) + len(mixed) for d, _ in got)
+
+
+def test_short_items_are_one_window(spark):
+    docs = ["So who wrote Hamlet? Nobody knows.", "Who wrote it? Hamlet did.", "who WROTE hamlet", "wrote Hamlet", None, ""]
+    assert set(found(spark, docs, ["Who wrote Hamlet?", "", "?!"])) == {(0, 0), (2, 0)}
+
+
+def test_numbers_alone_are_no_template(spark):
+    numbers = " ".join(str(n) for n in range(100, 140))
+    docs = [" ".join(str(n) for n in range(500, 900)), f"see {numbers} there"]
+    assert found(spark, docs, [numbers]) == {(1, 0): True}
+
+
 def test_slots_must_agree():
     def match(place, slots, theirs):
         return {"place": place, "slots": slots, "d_slots": theirs}
