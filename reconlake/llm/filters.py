@@ -39,8 +39,11 @@ class HashFilter:
         return cls(packed)
 
     def might_have(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for probe in (hashes & self.mask, (hashes >> np.uint64(33)) & self.mask):
-            byte = self.packed[(probe >> np.uint64(3)).astype(np.int64)]
-            found &= (byte >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        found = self._set(hashes & self.mask)
+        left = np.flatnonzero(found)
+        found[left] = self._set((hashes[left] >> np.uint64(33)) & self.mask)
         return found
+
+    def _set(self, probe: np.ndarray) -> np.ndarray:
+        byte = self.packed[(probe >> np.uint64(3)).astype(np.int64)]
+        return (byte >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0

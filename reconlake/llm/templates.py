@@ -108,64 +108,86 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.ascontiguousarray(rows["plain"]), kind, doubtful
 
 
-def _window_hashes(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
-    n = len(words) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    mixed = words ^ (words >> np.uint64(29))
-    total = np.full(n, WINDOW - length, np.uint64)
+def _mixed(words: np.ndarray) -> np.ndarray:
+    return words ^ (words >> np.uint64(29))
+
+
+def _final(sums: np.ndarray) -> np.ndarray:
+    return (sums ^ (sums >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _sums(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
+    """Per window, those that begin before the first or end after the last word included: sum over its words."""
+    mixed, sums = _mixed(words), np.full(len(words) + length - 1, WINDOW - length, np.uint64)
     for i, factor in enumerate(_FACTORS[:length]):
-        total += mixed[i : i + n] * factor
-    total ^= total >> np.uint64(32)
-    return total * np.uint64(0xD6E8FEB86659FD93)
+        sums[length - 1 - i : len(sums) - i] += mixed * factor
+    return sums
+
+
+def _window_hashes(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
+    return _final(_sums(words, length)[length - 1 : len(words)])
+
+
+def _with_placeholders(sums: np.ndarray, words: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """The sums of whole windows after words that have a kind gave way to its placeholder."""
+    places, sums = np.flatnonzero(kind), sums.copy()
+    change = _mixed(_PLACEHOLDERS[kind[places]]) - _mixed(words[places])
+    for i, factor in enumerate(_FACTORS):
+        sums[places + (WINDOW - 1 - i)] += change * factor
+    return sums[WINDOW - 1 : len(words)]
 
 
 class Template(NamedTuple):
-    """One reading of a text's words, per window: hash, kinds of its words, and how it may be used."""
+    """One reading of a text: kinds of all words, and the windows with placeholders, their hashes and use."""
 
+    kind: np.ndarray
+    at: np.ndarray
     hashes: np.ndarray
-    kinds: np.ndarray
     telling: np.ndarray
-    dense: np.ndarray
 
 
-def _template(plain: np.ndarray, kind: np.ndarray) -> Template:
-    kinds = np.lib.stride_tricks.sliding_window_view(kind, WINDOW)
-    before = np.concatenate(([0], np.cumsum(kind > 0)))
-    filled = before[WINDOW:] - before[:-WINDOW]
-    form = np.where(kind > 0, _PLACEHOLDERS[kind], plain)
-    dense = filled > WINDOW - LEAST_WORDS
-    return Template(_window_hashes(form), kinds, (filled > 0) & ~dense, dense)
+def _within(marked: np.ndarray) -> np.ndarray:
+    """Per window, the number of its words that are marked."""
+    before = np.zeros(len(marked) + 1, np.int32)
+    np.cumsum(marked, out=before[1:])
+    return before[WINDOW:] - before[:-WINDOW]
+
+
+def _template(plain: np.ndarray, sums: np.ndarray, kind: np.ndarray, only: np.ndarray | None = None) -> Template:
+    filled = _within(kind > 0)
+    at = np.flatnonzero(filled if only is None else only)
+    hashes = _final(_with_placeholders(sums, plain, kind)[at]) if len(at) else np.zeros(0, np.uint64)
+    return Template(kind, at, hashes, filled[at] <= WINDOW - LEAST_WORDS)
 
 
 def windows(text: str) -> tuple[np.ndarray, np.ndarray, list[Template]]:
     """Hashes of the words and of their windows as written, and the templates of the text's readings.
 
-    The second reading, in which every doubtful word is a name, uses only the windows with such words.
+    The second reading, in which every doubtful word is a name, has only the windows with such words.
     """
     plain, kind, doubtful = canonical(text)
     if len(plain) < WINDOW:
         return plain, np.zeros(0, np.uint64), []
-    readings = [_template(plain, np.where(doubtful, _WORD, kind))]
+    sums = _sums(plain)
+    readings = [_template(plain, sums, np.where(doubtful, np.uint8(_WORD), kind))]
     if doubtful.any():
-        before = np.concatenate(([0], np.cumsum(doubtful)))
-        other = before[WINDOW:] > before[:-WINDOW]
-        named = _template(plain, kind)
-        readings.append(named._replace(telling=named.telling & other, dense=named.dense & other))
-    return plain, _window_hashes(plain), readings
-
-
-def _near_telling(readings: list[Template], may: list[np.ndarray]) -> list[np.ndarray]:
-    """The windows that may match, dense ones only in a run with a telling one."""
-    may = [m & (r.telling | r.dense) for r, m in zip(readings, may)]
-    run = np.cumsum(~np.logical_or.reduce(may))
-    telling = np.logical_or.reduce([m & r.telling for r, m in zip(readings, may)])
+        readings.append(_template(plain, sums, kind, _within(doubtful)))
+    return plain, _final(sums[WINDOW - 1 : len(plain)]), readings
+
+
+def _near_telling(n: int, readings: list[Template], may: list[np.ndarray]) -> list[np.ndarray]:
+    """Which of each reading's windows stand in a run of windows that may match, one of them telling."""
+    matched, telling = np.zeros(n, bool), np.zeros(n, bool)
+    for reading, m in zip(readings, may):
+        matched[reading.at[m]] = True
+        telling[reading.at[m & reading.telling]] = True
+    run = np.cumsum(~matched)
     counts = np.bincount(run[telling], minlength=int(run[-1]) + 1)
-    return [m & (counts[run] > 0) for m in may]
+    return [m & (counts[run[r.at]] > 0) for r, m in zip(readings, may)]
 
 
-def _slots(words: np.ndarray, kinds: np.ndarray, at: int) -> list[int]:
-    return [int(w) for w in words[at : at + WINDOW][kinds[at] > 0].astype(np.int64)]
+def _slots(words: np.ndarray, kind: np.ndarray, at: int) -> list[int]:
+    return [int(w) for w in words[at : at + WINDOW][kind[at : at + WINDOW] > 0].astype(np.int64)]
 
 
 _ITEM = pa.schema(
@@ -190,10 +212,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             # an item without a telling window has no template, as written only is it told from others
             if any(r.telling.any() for r in readings):
                 for reading in readings:
-                    signed = reading.hashes.astype(np.int64)
-                    for at in np.nonzero(reading.telling | reading.dense)[0].tolist():
-                        slots = _slots(words, reading.kinds, at)
-                        rows.append((item_id, key, at, len(plain), int(signed[at]), True, slots, WINDOW))
+                    for at, h in zip(reading.at.tolist(), reading.hashes.astype(np.int64).tolist()):
+                        rows.append((item_id, key, at, len(plain), h, True, _slots(words, reading.kind, at), WINDOW))
         columns = list(zip(*rows)) or [()] * len(_ITEM)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ITEM)], schema=_ITEM)
 
@@ -279,12 +299,11 @@ class Leaks:
                     words, plain, readings = windows(text.as_py())
                     found = [plain, *(_window_hashes(words, k) for k in short)]
                     rows = [(h, ()) for f in found for h in np.unique(f[possible(f)]).astype(np.int64).tolist()]
-                    if readings:
-                        near = _near_telling(readings, [possible(r.hashes) for r in readings])
-                        for reading, places in zip(readings, near):
-                            signed = reading.hashes.astype(np.int64)
-                            at = np.nonzero(places)[0].tolist()
-                            rows += sorted({(int(signed[p]), tuple(_slots(words, reading.kinds, p))) for p in at})
+                    may = [possible(r.hashes) for r in readings]
+                    if any(m.any() for m in may):
+                        for reading, near in zip(readings, _near_telling(len(plain), readings, may)):
+                            met = zip(reading.at[near].tolist(), reading.hashes[near].astype(np.int64).tolist())
+                            rows += sorted({(h, tuple(_slots(words, reading.kind, at))) for at, h in met})
                     ids += [doc_id] * len(rows)
                     keys += [key] * len(rows)
                     hashes += [h for h, _ in rows]
