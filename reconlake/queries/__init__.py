@@ -37,6 +37,7 @@ def load_all() -> None:
         extraction,
         incremental,
         metadata,
+        own_dates,
         reconciliation,
         repairs,
         scripts,
