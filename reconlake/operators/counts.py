@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,7 +60,12 @@ class TablePair:
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """All rows of the frames, in their order. Joined in pairs, so that no frame is analysed once per other."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = pairs + frames[len(pairs) * 2 :]
+    return frames[0]
 
 
 def side_counts(
