@@ -114,3 +114,11 @@ def quick_key(
     mask = f"concat({', '.join(nulls)})"
     made = (f"xxhash64({mask}, {', '.join(values)})", f"xxhash64({', '.join(reversed(values))}, 'row', {mask})")
     return [F.expr(sql).alias(name) for sql, name in zip(made, names)]
+
+
+def value_key(field: T.StructField, kind: T.DataType | None = None) -> Column:
+    """A value in a form that can be compared: nested ones by their text, others in the wanted type."""
+    if isinstance(field.dataType, _NESTED):
+        return F.expr(_value_text(field))
+    c = F.col(quoted(field.name))
+    return c if kind is None or kind == field.dataType else c.cast(kind)

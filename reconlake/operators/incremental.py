@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reconlake.functions import dates
 from reconlake.functions.columns import align_to, any_null, col, same_types
-from reconlake.functions.hashing import quick_key
+from reconlake.functions.hashing import quick_key, value_key
 
 _KEYS, _ROW, _OLD = ["__row_key_1", "__row_key_2"], "__row", "__old"
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -68,3 +68,34 @@ def incremental_rows(
         return grouped.where(F.col(_OLD) == 0).select(f"{_ROW}.*")
     missing = keyed.join(known.distinct(), _KEYS, "left_anti")
     return missing.select(*[col(c) for c in new.columns])
+
+
+def rows_not_in(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of ``new`` with no equal row in ``existing``, copies included; NULLs are equal.
+
+    Rows meet by their keys and are then compared value by value, so two rows whose hashes agree by chance
+    stay two rows. Both sides move whole rows: meant for an ``existing`` that was narrowed down first.
+    """
+    existing = align_to(existing, new.columns)
+    new, existing = _one_zero(new), _one_zero(existing)
+    wide, wide_existing = same_types(new, existing)
+    kinds = {f.name: f.dataType for f in wide.schema.fields}
+    values = [f"__value_{i}" for i in range(len(new.columns))]
+
+    def compared(df: DataFrame, prefix: str) -> list[Column]:
+        return [
+            value_key(f, kinds.get(f.name)).alias(f"{prefix}{v}") for v, f in zip(values, df.schema.fields)
+        ]
+
+    known = wide_existing.select(
+        *quick_key(wide_existing.schema.fields, [f"__old{k}" for k in _KEYS]), *compared(wide_existing, "__old")
+    ).distinct()
+    keyed = new.select(
+        *[col(c) for c in new.columns], *quick_key(new.schema.fields, _KEYS, kinds), *compared(new, "__new")
+    )
+    same = F.lit(True)
+    for k in _KEYS:
+        same = same & (F.col(k) == F.col(f"__old{k}"))
+    for v in values:
+        same = same & F.col(f"__new{v}").eqNullSafe(F.col(f"__old{v}"))
+    return keyed.join(known, same, "left_anti").select(*[col(c) for c in new.columns])

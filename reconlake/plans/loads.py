@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reconlake.errors import ENGINE_ERRORS
 from reconlake.functions import dates, status
-from reconlake.operators import audit
-from reconlake.operators.incremental import incremental_rows
+from reconlake.functions.columns import align_to
+from reconlake.operators import audit, key_sketches
+from reconlake.operators.incremental import incremental_rows, rows_not_in
 from reconlake.operators.repair import apply_decisions, misfits, profile
 from reconlake.operators.schema_guard import frame_differences
 from reconlake.session import discard, scratch_path
@@ -132,6 +133,25 @@ def incremental_load(
     return LoadResult(table, audit.SUCCESS, inserted, inserted)
 
 
+def indexed_load(new: DataFrame, table: str, sketches: str, date_column: str, cutoff: str | dt.date) -> LoadResult:
+    """The incremental load of a large table: only files that may hold rows of the delta are read.
+
+    ``sketches`` is the folder of :mod:`reconlake.operators.key_sketches`, made at the first load; later loads add
+    those of the files they wrote. Files without a sketch are read, so a lost folder costs time, not rows.
+    """
+    spark = new.sparkSession
+    if not spark.catalog.tableExists(table):
+        return LoadResult(table, audit.ERROR, error=f"Target table {table} does not exist")
+    if not key_sketches.exist(spark, sketches):
+        key_sketches.write_sketches(spark.table(table), sketches, date_column)
+    delta = dates.after(align_to(new, spark.table(table).columns), date_column, cutoff)
+    narrowed = key_sketches.may_hold(spark.table(table), delta, sketches)
+    rows = rows_not_in(delta, dates.after(narrowed, date_column, cutoff))
+    inserted = sink.append_counted(rows, table)
+    key_sketches.add_sketches(spark.table(table), sketches)
+    return LoadResult(table, audit.SUCCESS, inserted, inserted)
+
+
 def copy_tables(
     spark: SparkSession,
     names: Sequence[str],

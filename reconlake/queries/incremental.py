@@ -93,6 +93,21 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@query(
+    "load_incremental_indexed",
+    f"{fx.PAIR} SELECT * FROM orders_src UNION ALL ({_missing(_SAME, CUTOFF)})",
+)
+def load_incremental_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by sketches of each file's keys; loaded twice, and the second time nothing is new."""
+    source, target = fx.orders_pair(spark, sf_dir)
+    table = f"{_own_schema(spark)}.orders"
+    loads.full_load(source.repartitionByRange("o_orderdate"), table)
+    sketches = scratch_path(spark, "sketches")
+    for _ in range(2):
+        loads.indexed_load(target, table, sketches, "o_orderdate", CUTOFF)
+    return spark.table(table)
+
+
 @query("load_full", "SELECT * FROM lineitem")
 def load_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{_own_schema(spark)}.lineitem"
