@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.errors import ENGINE_ERRORS
 from reconlake.functions import status
 from reconlake.operators import counts as C
+from reconlake.operators import levels
 from reconlake.operators import lineage as L
 from reconlake.operators.discovery import date_profile
 from reconlake.operators.own_dates import reconcile_own_days, table_days
@@ -19,6 +20,12 @@ from reconlake.plans.reports import in_batches
 from reconlake.session import scratch_path
 from reconlake.sources.catalog import Reader, open_pairs
 
+#: Results of statements that the driver holds before they are written.
+RESULTS_TOGETHER = 200
+_RESULT = (
+    "file_path string, file_name string, position int, query string, status string, error_message string"
+)
+_OUTCOME = "file_path string, outcome string"
 READY = "ready"
 ROWS_DIFFER = "rows differ"
 
@@ -266,29 +273,94 @@ def check_scripts(
     return decide(lineage, verdicts, start_date, require_date_column)
 
 
+class _Results:
+    """Results of statements, appended to a folder whenever so many are together; the driver keeps no more."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.rows = spark, path, []
+        spark.createDataFrame([], _RESULT).write.parquet(path)
+
+    def add(self, s: Row, outcome: str, error: str | None = None) -> None:
+        self.rows.append((s.file_path, s.file_name, s.position, s.query, outcome, error))
+        if len(self.rows) >= RESULTS_TOGETHER:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.rows:
+            self.spark.createDataFrame(self.rows, _RESULT).coalesce(1).write.mode("append").parquet(self.path)
+        self.rows = []
+
+    def frame(self) -> DataFrame:
+        return self.spark.read.schema(_RESULT).parquet(self.path)
+
+
+def _run(spark: SparkSession, scripts: DataFrame, results: _Results) -> None:
+    todo = L.statements(scripts).orderBy("file_path", "position")
+    try:
+        for s in todo.toLocalIterator():
+            try:
+                result = spark.sql(s.query)
+                if result.columns:
+                    result.write.format("noop").mode("overwrite").save()
+                results.add(s, "Success")
+            except ENGINE_ERRORS as e:
+                results.add(s, "Failed", str(e))
+    finally:
+        results.flush()
+
+
 def run_scripts(spark: SparkSession, scripts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Run the statements of ready scripts in order; one result row per statement.
 
     The statements are streamed to the driver one by one, which is where SQL is submitted.
     A statement that fails is a row with its error, and the next one runs. A query is run to its
-    end, without keeping its result.
+    end, without keeping its result. Results go to the scratch folder as they come.
     """
     ready = decisions.filter("ready").select("file_path")
-    todo = L.statements(scripts.join(ready, "file_path", "left_semi")).orderBy("file_path", "position")
-    rows = []
-    for s in todo.toLocalIterator():
-        try:
-            result = spark.sql(s.query)
-            if result.columns:
-                result.write.format("noop").mode("overwrite").save()
-            rows.append((s.file_path, s.file_name, s.position, s.query, "Success", None))
-        except ENGINE_ERRORS as e:
-            rows.append((s.file_path, s.file_name, s.position, s.query, "Failed", str(e)))
-    return spark.createDataFrame(
-        rows,
-        "file_path string, file_name string, position int, query string, status string, "
-        "error_message string",
-    )
+    results = _Results(spark, scratch_path(spark, "results"))
+    _run(spark, scripts.join(ready, "file_path", "left_semi"), results)
+    return results.frame()
+
+
+def run_by_level(
+    spark: SparkSession, scripts: DataFrame, decisions: DataFrame, lineage: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Run ready scripts level by level; returns the results per statement, and per script what became of it.
+
+    A script does not run when a table it reads is written by a script that was not ready, did not run, failed,
+    or is in a cycle: its outcome is then ``Blocked``. Other outcomes are ``Success``, ``Failed``, ``Not ready``,
+    and the states of :func:`reconlake.operators.levels.run_levels` for scripts without a level.
+    """
+    lineage = L.script_lineage(scripts) if lineage is None else lineage
+    at = scratch_path(spark, "order")
+    ready = decisions.filter("ready").select("file_path", F.lit(True).alias("ready"))
+    levels.run_levels(lineage).join(ready, "file_path", "left").write.parquet(at)
+    order = spark.read.parquet(at)
+    uses = levels.uses(lineage)
+    results = _Results(spark, scratch_path(spark, "results"))
+    outcomes = scratch_path(spark, "outcomes")
+    stuck = order.filter("level IS NULL").select("file_path", F.col("state").alias("outcome"))
+    stuck.write.parquet(outcomes)
+    last = order.agg(F.max("level")).first()[0]
+    for level in range(-1 if last is None else last + 1):
+        so_far = spark.read.schema(_OUTCOME).parquet(outcomes)
+        bad = so_far.filter("outcome <> 'Success'").join(uses.filter("writes"), "file_path").select("table_name")
+        blocked = uses.filter("reads").join(bad, "table_name", "left_semi").select("file_path").distinct()
+        here = scratch_path(spark, "level")
+        order.filter(F.col("level") == level).join(
+            blocked.withColumn("blocked", F.lit(True)), "file_path", "left"
+        ).select(
+            "file_path",
+            F.when(F.col("blocked"), "Blocked").when(F.col("ready"), "Success").otherwise("Not ready").alias("outcome"),
+        ).write.parquet(here)
+        planned = spark.read.schema(_OUTCOME).parquet(here)
+        _run(spark, scripts.join(planned.filter("outcome = 'Success'"), "file_path", "left_semi"), results)
+        failed = results.frame().filter("status = 'Failed'").select("file_path").distinct()
+        ended = planned.join(failed.withColumn("failed", F.lit(True)), "file_path", "left").select(
+            "file_path", F.when(F.col("failed"), "Failed").otherwise(F.col("outcome")).alias("outcome")
+        )
+        ended.write.mode("append").parquet(outcomes)
+    return results.frame(), spark.read.schema(_OUTCOME).parquet(outcomes)
 
 
 def check_targets(

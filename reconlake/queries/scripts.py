@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reconlake.functions import status
 from reconlake.functions.text import BLANK, SOURCE_KEYWORDS, STRIPPED, TARGET_KEYWORDS, WORD
 from reconlake.operators import counts as C
+from reconlake.operators import levels as order
 from reconlake.operators import lineage as L
 from reconlake.operators import rollups
 from reconlake.plans import gate
@@ -296,3 +297,47 @@ def target_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def target_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.pass_fail_totals(rollups.target_summary(_target_results(spark, sf_dir)))
+
+
+def _written_by(offset: str) -> str:
+    return f"'w.t' || ({offset})"
+
+
+# A script per customer. Of each eight in a row: a chain, a diamond, a cycle of two, one behind it, and one
+# that reads what it writes.
+_CHAINED = fx.Derived(
+    "customer",
+    {
+        "file_path": "'jobs/' || c_custkey || '.sql'",
+        "text": f"'INSERT INTO ' || {_written_by('c_custkey')} || ' SELECT * FROM ' || CASE c_custkey % 8 "
+        "WHEN 0 THEN 'base.sales' "
+        f"WHEN 1 THEN {_written_by('c_custkey - 1')} WHEN 2 THEN {_written_by('c_custkey - 2')} "
+        f"WHEN 3 THEN {_written_by('c_custkey - 2')} || ' JOIN ' || {_written_by('c_custkey - 1')} "
+        f"WHEN 4 THEN {_written_by('c_custkey + 1')} WHEN 5 THEN {_written_by('c_custkey - 1')} "
+        f"WHEN 6 THEN {_written_by('c_custkey - 1')} ELSE {_written_by('c_custkey')} END",
+    },
+)
+
+
+@query(
+    "gate_run_levels",
+    f"""WITH RECURSIVE scripts AS ({_CHAINED.sql()}), l AS ({_lineage_sql('scripts')}),
+r AS (SELECT file_path, unnest(s) AS n FROM l), w AS (SELECT file_path, unnest(t) AS n FROM l),
+edges AS (SELECT DISTINCT w.file_path AS a, r.file_path AS b FROM w JOIN r USING (n)
+          WHERE w.file_path <> r.file_path),
+reach AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+cyclic AS (SELECT DISTINCT a AS file_path FROM reach WHERE a = b),
+behind AS (SELECT DISTINCT b AS file_path FROM reach WHERE a IN (SELECT file_path FROM cyclic)
+           AND b NOT IN (SELECT file_path FROM cyclic)),
+fine AS (SELECT file_path FROM scripts WHERE file_path NOT IN (SELECT file_path FROM cyclic)
+         AND file_path NOT IN (SELECT file_path FROM behind)),
+paths AS (SELECT file_path, 0 AS n FROM fine UNION
+          SELECT edges.b, paths.n + 1 FROM paths JOIN edges ON edges.a = paths.file_path
+          WHERE edges.b IN (SELECT file_path FROM fine))
+SELECT file_path, CAST(max(n) AS int) AS level, 'ordered' AS state FROM paths GROUP BY file_path
+UNION ALL SELECT file_path, NULL, 'cycle' FROM cyclic
+UNION ALL SELECT file_path, NULL, 'behind a cycle' FROM behind""",
+)
+def gate_run_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In which order scripts can run that read what others write."""
+    return order.run_levels(L.script_lineage(_CHAINED.frame(spark, sf_dir)))
