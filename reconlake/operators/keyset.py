@@ -54,7 +54,8 @@ def key_pages(df: DataFrame, key: str, size: int) -> DataFrame:
     keys = df.select(col(key).alias("k"), _code(df, key).alias("code")).where("k IS NOT NULL")
     total = keys.count()
     cuts = max(2, min(MOST_CUTS, CUTS_PER_PAGE * -(-total // size)))
-    shares = [i / cuts for i in range(1, cuts)]
+    # one literal: a list would be sent to the JVM number by number
+    shares = F.split(F.lit(",".join(str(i / cuts) for i in range(1, cuts))), ",").cast("array<double>")
     sketch = keys.agg(F.percentile_approx("code", shares, max(10_000, 4 * cuts))).first()[0] or []
     limits = np.unique(np.array(sketch, np.int64))
 
@@ -79,26 +80,36 @@ def key_pages(df: DataFrame, key: str, size: int) -> DataFrame:
     # one row per page
     pages = summed.where(ends_page(F.col("upto") - F.col("n"), F.col("upto"))).select("k", "upto")
     order = Window.orderBy("upto")
-    return pages.select(
+    found = pages.select(
         (F.row_number().over(order) - 1).cast("bigint").alias(CHUNK),
         F.lag("k").over(order).alias("after_key"),
         F.col("k").alias("upto_key"),
         (F.col("upto") - F.coalesce(F.lag("upto").over(order), F.lit(0))).alias("rows"),
     )
+    # written, for whoever asks again would count the keys again
+    found.write.parquet(f"{at}/pages")
+    return spark.read.schema(found.schema).parquet(f"{at}/pages")
 
 
 def with_key_page(df: DataFrame, key: str, limits: list) -> DataFrame:
     """chunk_id of every row from the pages' last keys, in order; rows without a key go to chunk -1."""
+    if isinstance(df.schema[key].dataType, T.StringType):
+        of, ends = col(key), [x.encode() for x in limits]
 
-    @F.pandas_udf("long")
-    def page(keys: pd.Series) -> pd.Series:
-        if keys.dtype.kind in "iu":
-            return pd.Series(np.searchsorted(np.array(limits, np.int64), keys.to_numpy(), "left").astype(np.int64))
-        as_bytes = [x.encode() if isinstance(x, str) else x for x in limits]
-        found = (bisect_left(as_bytes, k.encode() if isinstance(k, str) else k) for k in keys)
-        return pd.Series(list(found), dtype="int64")
-
-    known = df.where(col(key).isNotNull()).withColumn(CHUNK, page(col(key)))
+        @F.pandas_udf("long")
+        def page(keys: pd.Series) -> pd.Series:
+            return pd.Series([bisect_left(ends, k.encode()) for k in keys], dtype="int64")
+
+    else:
+        # all other keys are told apart by their number
+        last = df.sparkSession.createDataFrame([(x,) for x in limits], T.StructType([df.schema[key]]))
+        of, ends = _code(df, key), np.array([r[0] for r in last.select(_code(last, key)).collect()], np.int64)
+
+        @F.pandas_udf("long")
+        def page(keys: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(ends, keys.to_numpy(np.int64), "left").astype(np.int64))
+
+    known = df.where(col(key).isNotNull()).withColumn(CHUNK, page(of))
     return known.unionByName(df.where(col(key).isNull()).withColumn(CHUNK, F.lit(NO_TIME).cast("bigint")))
 
 

@@ -17,26 +17,59 @@ from reconlake.sinks import tables as sink
 from reconlake.sources import jdbc
 
 
+#: Chunk folders of an export at most. With more chunks than that, neighbours share a folder, where the chunk is a
+#: column by which files are sorted: a file and a folder per small chunk cost more than its rows.
+MOST_FOLDERS = 1_000
+#: Partition column of shared folders: the first chunk that a folder may hold.
+FOLDER = "chunks_from"
+
+
 @dataclass(frozen=True)
 class Export:
-    """What was written: the folder, its manifest (one row per chunk), the three-way check."""
+    """What was written: the folder, its manifest (one row per chunk), the three-way check, and the planned limits.
+
+    A manifest's ``path`` is the folder that holds the chunk, by itself or, beyond MOST_FOLDERS, among others.
+    """
 
     path: str
     source_rows: int
     manifest: DataFrame
     check: DataFrame
+    plan: DataFrame | None = None
 
 
 def chunk_path(path: str, chunk_id: int) -> str:
     return f"{path}/{chunks.CHUNK}={chunk_id}"
 
 
-def _finish(path: str, written: DataFrame, source_rows: int) -> Export:
+def _finish(path: str, written: DataFrame, source_rows: int, plan: DataFrame | None = None) -> Export:
     # grouping by the partition column alone is answered from file footers
-    counts = written.groupBy(chunks.CHUNK).agg(F.count(F.lit(1)).alias("rows"))
-    base = F.lit(f"{path}/{chunks.CHUNK}=")
-    listed = counts.withColumn("path", F.concat(base, F.col(chunks.CHUNK).cast("string")))
-    return Export(path, source_rows, listed, chunks.export_check(source_rows, counts, written))
+    folder = FOLDER if FOLDER in written.columns else chunks.CHUNK
+    counts = written.groupBy(*{chunks.CHUNK, folder}).agg(F.count(F.lit(1)).alias("rows"))
+    where = F.concat(F.lit(f"{path}/{folder}="), F.col(folder).cast("string"))
+    listed = counts.select(chunks.CHUNK, "rows", where.alias("path"))
+    return Export(path, source_rows, listed, chunks.export_check(source_rows, counts, written), plan)
+
+
+def _write_chunks(
+    chunked: DataFrame, path: str, source_rows: int, rows_per_chunk: int, plan: DataFrame | None = None, balanced: bool = True
+) -> Export:
+    """Writes rows that know their chunk; chunk ids are below the number of chunks that the rows fill, or -1."""
+    most = source_rows // rows_per_chunk + 1
+    together = -(-most // MOST_FOLDERS)
+    folder = chunks.CHUNK
+    if together > 1:
+        chunk, folder = F.col(chunks.CHUNK), FOLDER
+        chunked = chunked.withColumn(FOLDER, F.when(chunk < 0, chunk).otherwise(chunk - chunk % together))
+    if source_rows == 0:
+        # no chunk folder would exist, so the empty table is written in one piece
+        sink.write_parquet(chunked, path)
+    else:
+        out = sink.balanced(chunked, folder) if balanced else chunked
+        if together > 1:
+            out = out.sortWithinPartitions(FOLDER, chunks.CHUNK)
+        sink.write_parquet(out, path, [folder])
+    return _finish(path, chunked.sparkSession.read.schema(chunked.schema).parquet(path), source_rows, plan)
 
 
 def export_by_offset(
@@ -53,13 +86,7 @@ def export_by_offset(
     staging = scratch_path(spark, "export")
     source_rows = sink.write_parquet_counted(chunks.positioned(ordered), staging)
     numbered = chunks.numbered_chunks(spark.read.parquet(staging), chunk_size)
-    if source_rows == 0:
-        # no chunk folder would exist, so the empty table is written in one piece
-        sink.write_parquet(numbered, path)
-    else:
-        sink.write_parquet(numbered, path, [chunks.CHUNK])
-    written = spark.read.schema(numbered.schema).parquet(path)
-    return _finish(path, written, source_rows)
+    return _write_chunks(numbered, path, source_rows, chunk_size, balanced=False)
 
 
 def export_by_offset_repaired(
@@ -134,23 +161,13 @@ def export_remote_by_time(
 
 
 def export_by_time_even(df: DataFrame, path: str, ts: str, rows_per_chunk: int = 1_000_000) -> Export:
-    """One folder per time range of about equal rows; rows without a timestamp go to chunk -1.
+    """One folder per time range of about equal rows (up to MOST_FOLDERS); rows without a timestamp go to chunk -1.
 
     The ranges come from a histogram (see :mod:`reconlake.operators.even_chunks`), so empty spans make none,
     and a busy hour is cut as far down as it has to be.
     """
-    spark = df.sparkSession
-    source_rows = df.count()
-    chunked = EvenChunks.of(df, ts, rows_per_chunk).assign(df, ts)
-    return _write_chunks(spark, chunked, path, source_rows)
-
-
-def _write_chunks(spark: SparkSession, chunked: DataFrame, path: str, source_rows: int) -> Export:
-    if source_rows == 0:
-        sink.write_parquet(chunked, path)
-    else:
-        sink.write_balanced(chunked, path, [chunks.CHUNK])
-    return _finish(path, spark.read.schema(chunked.schema).parquet(path), source_rows)
+    even = EvenChunks.of(df, ts, rows_per_chunk)
+    return _write_chunks(even.assign(df, ts), path, df.count(), rows_per_chunk, even.plan())
 
 
 def export_remote_by_time_even(
@@ -182,21 +199,22 @@ def export_remote_by_time_even(
 
     source_rows = int(jdbc.row_count(spark, url, name, **options).first()[0])
     even = EvenChunks.of_counts(counts(keys[:3]), counts(keys), rows_per_chunk)
-    ranges = [(r["start_ts"], r["end_ts"]) for r in even.plan().orderBy(chunks.CHUNK).collect()]
+    plan = even.plan()
+    ranges = [(r["start_ts"], r["end_ts"]) for r in plan.orderBy(chunks.CHUNK).collect()]
     predicates = jdbc.time_predicates(column, ranges, literal=literal)
     rows = jdbc.by_predicates(spark, url, name, predicates, **options).coalesce(connections)
-    return _write_chunks(spark, even.assign(rows, ts), path, source_rows)
+    return _write_chunks(even.assign(rows, ts), path, source_rows, rows_per_chunk, plan)
 
 
 def export_by_key(df: DataFrame, path: str, key: str, rows_per_chunk: int = 1_000_000) -> Export:
-    """One folder per range of the key; rows without a key go to chunk -1.
+    """One folder per range of the key (up to MOST_FOLDERS); rows without a key go to chunk -1.
 
     No sort and no row numbers: the limits of the ranges are exact quantiles, and a row's chunk follows from
     its key.
     """
-    limits = _limits(keyset.key_pages(df, key, rows_per_chunk))
-    chunked = keyset.with_key_page(df, key, [upto for _, upto in limits])
-    return _write_chunks(df.sparkSession, chunked, path, df.count())
+    pages = keyset.key_pages(df, key, rows_per_chunk)
+    chunked = keyset.with_key_page(df, key, [upto for _, upto in _limits(pages)])
+    return _write_chunks(chunked, path, df.count(), rows_per_chunk, pages)
 
 
 def _limits(pages: DataFrame) -> list[tuple]:
@@ -223,8 +241,9 @@ def export_remote_by_key(
     keys = jdbc.table(spark, url, f"(SELECT {column} FROM {name}) keys_only", **options).toDF(key)
     staged = scratch_path(spark, "remote-keys")
     source_rows = sink.write_parquet_counted(keys, staged)
-    limits = _limits(keyset.key_pages(spark.read.schema(keys.schema).parquet(staged), key, rows_per_chunk))
+    pages = keyset.key_pages(spark.read.schema(keys.schema).parquet(staged), key, rows_per_chunk)
+    limits = _limits(pages)
     predicates = keyset.key_predicates(column, limits)
     rows = jdbc.by_predicates(spark, url, name, predicates, **options).coalesce(connections)
     chunked = keyset.with_key_page(rows, key, [upto for _, upto in limits])
-    return _write_chunks(spark, chunked, path, source_rows)
+    return _write_chunks(chunked, path, source_rows, rows_per_chunk, pages)

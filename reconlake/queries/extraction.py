@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.operators import chunks, keyset
-from reconlake.operators.even_chunks import EvenChunks
+from reconlake.operators import chunks
 from reconlake.plans import exports
 from reconlake.queries import fixtures as fx
 from reconlake.queries import query
@@ -160,9 +159,8 @@ def chunk_even_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, (ts, wanted) in _EVEN.items():
         rows = _BUSY.frame(spark, sf_dir) if name == "events" else fx.table(spark, sf_dir, name)
         export = exports.export_by_time_even(rows, scratch_path(spark, "even"), ts, wanted)
-        plan = EvenChunks.of(rows, ts, wanted).plan().drop("rows")
         counted = export.manifest.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), "rows")
-        found.append(counted.join(plan, "chunk_id", "left").select(F.lit(name).alias("table_name"), "*"))
+        found.append(counted.join(export.plan.drop("rows"), "chunk_id", "left").select(F.lit(name).alias("table_name"), "*"))
     return found[0].unionByName(found[1])
 
 
@@ -184,10 +182,9 @@ def chunk_keyset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = []
     for name, (key, size) in _PAGED.items():
         rows = fx.table(spark, sf_dir, name)
-        pages = keyset.key_pages(rows, key, size).drop("rows")
         export = exports.export_by_key(rows, scratch_path(spark, "keys"), key, size)
         counted = export.manifest.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), "rows")
         limits = [F.col(c).cast("string").alias(c) for c in ("after_key", "upto_key")]
-        joined = counted.join(pages, "chunk_id", "left")
+        joined = counted.join(export.plan.drop("rows"), "chunk_id", "left")
         found.append(joined.select(F.lit(name).alias("table_name"), "chunk_id", *limits, "rows"))
     return found[0].unionByName(found[1]).unionByName(found[2])

@@ -211,3 +211,40 @@ def test_an_empty_table_has_a_tree(spark):
     for path in paths:
         digest_tree.write_tree(df, path, "d", buckets=4)
     assert digest_tree.compare_trees(spark, *paths).count() == 0
+
+
+@pytest.mark.parametrize("how", ["key", "even", "offset"])
+def test_many_small_chunks_share_a_bounded_number_of_folders(spark, monkeypatch, how):
+    monkeypatch.setattr(exports, "MOST_FOLDERS", 4, raising=False)
+    day = dt.datetime(2024, 3, 1)
+    values = [(i, day + dt.timedelta(minutes=7 * i)) for i in range(300)]
+    missing = [] if how == "offset" else [(None, None)] * 2
+    df = spark.createDataFrame([*values, *missing], "k long, ts timestamp_ntz")
+    path = scratch_path(spark, "folders")
+    if how == "key":
+        export = exports.export_by_key(df, path, "ts", 10)
+    elif how == "even":
+        export = exports.export_by_time_even(df, path, "ts", 10)
+    else:
+        export = exports.export_by_offset(df, path, 10, ["k"])
+    assert len(glob.glob(f"{_local(path)}/*=*")) <= 5 + bool(missing)
+    assert export.check.first()["status"] == "VALIDATION_SUCCESS"
+    manifest = export.manifest.collect()
+    assert len(manifest) >= 20 and sum(r["rows"] for r in manifest) == df.count()
+    written = spark.read.parquet(path)
+    assert rows(written.select(*df.columns)) == rows(df)
+    for r in manifest[::7]:
+        chunk = spark.read.parquet(r["path"]).where(f"chunk_id = {r['chunk_id']}")
+        assert chunk.count() == r["rows"]
+    if export.plan is not None:
+        planned = {r["chunk_id"]: r["rows"] for r in export.plan.collect()}
+        assert planned == {r["chunk_id"]: r["rows"] for r in manifest if r["chunk_id"] >= 0}
+
+
+def test_pages_are_planned_once(spark, monkeypatch):
+    df = spark.range(100).toDF("k")
+    asked, found = [], keyset.key_pages
+    monkeypatch.setattr(keyset, "key_pages", lambda *a: asked.append(a) or found(*a))
+    export = exports.export_by_key(df, scratch_path(spark, "once"), "k", 10)
+    assert [tuple(r) for r in export.plan.orderBy("chunk_id").limit(2).collect()] == [(0, None, 9, 10), (1, 9, 19, 10)]
+    assert len(asked) == 1
