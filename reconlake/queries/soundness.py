@@ -343,7 +343,9 @@ def recon_hash_bucketed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by footer and rows decoded, over the files of an export."""
     path = scratch_path(spark, "ledger")
-    fx.table(spark, sf_dir, "lineitem").repartition(7).write.parquet(path)
+    rows = fx.table(spark, sf_dir, "lineitem")
+    # several files, more with the splits of the scan, so that none grows with the table; a split is far larger in a shuffle
+    rows.repartition(max(7, 4 * rows.rdd.getNumPartitions())).write.parquet(path)
     found = files.file_ledger(spark, path)
     short = F.coalesce(F.col("decoded_rows") < F.col("footer_rows"), F.lit(True))
     return found.agg(

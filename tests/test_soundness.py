@@ -14,6 +14,8 @@ from reconlake.operators import repair as R
 from reconlake.operators import row_hashes as H
 from reconlake.operators.incremental import incremental_rows
 from reconlake.plans import gate, loads, reports
+from reconlake.queries import fixtures as fx
+from reconlake.queries import soundness
 from reconlake.session import discard, scratch_path
 from reconlake.sources import catalog, files
 
@@ -193,3 +195,21 @@ def test_an_incremental_load_moves_only_keys_of_the_old_side(spark):
     assert [tuple(r) for r in incremental_rows(nulls, nulls.limit(1)).collect()] == [(None, 1)]
     longer = spark.createDataFrame([(1,)], "a bigint")
     assert incremental_rows(spark.createDataFrame([(1,), (2,)], "a int"), longer).schema.simpleString() == "struct<a:int>"
+
+
+def test_files_of_the_ledger_grow_in_number_not_in_size(spark, sf_dir, monkeypatch):
+    small = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    asked, found = [], files.file_ledger
+    monkeypatch.setattr(files, "file_ledger", lambda spark, path: asked.append(path) or found(spark, path))
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        row = soundness.source_file_ledger(spark, sf_dir).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    total = fx.table(spark, sf_dir, "lineitem").count()
+    assert tuple(row) == (total, total, 0)
+    sizes = [r["footer_rows"] for r in found(spark, *asked).collect()]
+    assert len(sizes) > 7 and max(sizes) < total / 7
