@@ -6,23 +6,29 @@ all strings that choose it: of the 16-byte grams in a string of 50 bytes the one
 anchor, and strings alike have the same anchor at the same place. On average 18 neighbouring strings
 choose one anchor and travel as one row.
 
-1. First round: Spark sorts the anchors by rank (the gram) and by the whole stretch that their strings
-   cover. Rows of a stretch that a smaller document has as well are done: all their bytes go. A gram
+1. First round: the strings of an anchor are halved, those that begin nearer to it and those that begin farther away,
+   so that the strings of a half have 33 or 34 bytes in common. (A gram of 16 bytes alone is met by chance ever more often
+   as the corpus grows.) Spark sorts the halves by rank (a hash of these bytes) and by the whole stretch that their strings
+   cover. Rows of a stretch that a smaller document has as well are done: all their bytes go. A rank
    that no other stretch has is unique and drops out. Within a batch of documents this happens before anything is
-   shuffled, so a passage that a third of all documents have is one row per batch.
-2. What is left lies at the edges of repeated passages. There the strings of an anchor are halved, which
-   makes what they have in common grow from 16 bytes to 33, 42, 46, 48, 49 and 50. Each round sorts rows by
+   shuffled, so a passage that a third of all documents have is one row per batch. The round is made in ``SHARES`` parts
+   by rank, one after the other, so that no more than a part of its rows is on disk at a time.
+2. What is left lies at the edges of repeated passages. There the strings are halved again, which
+   makes what they have in common grow from 33 bytes to 42, 46, 48, 49 and 50. Each round sorts rows by
    a pair, the rank of the last round and the bytes at the new offset, gives new ranks, and drops rows that are
-   unique or whose whole stretch is found in a smaller document. Past the threshold a row is one string.
+   unique or whose whole stretch is found in a smaller document. Past the threshold a row is one string. If the first
+   round leaves more than a row per ``OPEN_BYTES`` bytes of text, these rounds are made in parts, too.
 
-Ranks and bytes of the later rounds are exact. In the first round a stretch is known by two 64-bit hashes.
+Bytes of the later rounds are exact. In the first round a rank is a 64-bit hash, and a stretch is known by two.
 Rows are read in sorted order with a state of one group, so no group is held; texts move
-only where rows are left after the first round, and where bytes go.
+only where rows are left after the first round, and where bytes go. Shuffles of a round, and the rows that it left
+open, are removed as soon as the next one is written; marks stay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +39,20 @@ from pyspark.sql import functions as F
 
 from reconlake.llm import workers
 from reconlake.llm.filters import HashFilter
-from reconlake.session import scratch_path
+from reconlake.session import discard, scratch_path, shuffles_removed
 
 THRESHOLD = 50
 GRAM = 16
 #: Strings that may choose one anchor, and the last of their offsets before it.
 _STRINGS = THRESHOLD - GRAM + 1
 _LAST = _STRINGS - 1
+#: The last offset of the half that begins nearer to the anchor.
+_MIDDLE = _LAST // 2
+#: Parts of the first round, by rank. Each reads the texts again.
+SHARES = 2
+#: Bytes of text per open row of the first round for which the later rounds are made once; the halves of such a row
+#: take about half of that in a shuffle.
+OPEN_BYTES = 240
 #: Strings looked at together; their number within a piece fits into 16 bits.
 _PIECE = (1 << 16) - 64
 #: Anchors that are compared with each other before they are shuffled.
@@ -72,11 +85,11 @@ def _gram_hashes(part: np.ndarray, grams: int) -> np.ndarray:
     return _mixed(((first ^ (first >> np.uint64(31))) + eight[8:]) * _B)
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per piece of the joined texts: first and last string of each group, anchor, gram and stretch.
+def anchors(data: np.ndarray, ends: np.ndarray, share: int = 0, shares: int = 1) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per piece of the joined texts: first and last string of each half of a group, anchor, rank and stretch.
 
     ``ends`` are the ends of the texts in ``data``. Neighbouring strings with one anchor are a group; strings
-    do not cross the end of a text.
+    do not cross the end of a text. Of all ranks those of one share are given.
     """
     for at in range(0, len(data) - THRESHOLD + 1, _PIECE):
         m = min(_PIECE, len(data) - THRESHOLD + 1 - at)
@@ -106,22 +119,32 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ..
         a = anchor[lo]
         sums = np.zeros(grams + 1, np.uint64)
         np.cumsum(hashes * _POWERS[:grams], out=sums[1:])
+        halves_of = []
+        for nearest, farthest in ((0, _MIDDLE), (_MIDDLE + 1, _LAST)):
+            some = np.nonzero((a - hi <= farthest) & (a - lo >= nearest))[0]
+            # the bytes that all strings of the half have
+            begin, end = a[some] - nearest, a[some] - farthest + _STRINGS
+            rank = _mixed((((sums[end] - sums[begin]) * _NEGATIVE[begin]) ^ np.uint64(nearest)) + _B)
+            if shares > 1:
+                mine = (rank >> np.uint64(40)) % np.uint64(shares) == np.uint64(share)
+                some, rank = some[mine], rank[mine]
+            halves_of.append((np.maximum(lo[some], a[some] - farthest), np.minimum(hi[some], a[some] - nearest), a[some], rank))
+        lo, hi, a, rank = (np.concatenate(c) for c in zip(*halves_of))
         stretch = (sums[hi + _STRINGS] - sums[lo]) * _NEGATIVE[lo]
         shape = ((a - lo) * 64 + (hi - lo)).astype(np.uint64)
-        yield lo + at, hi + at, a + at, hashes[a], _mixed((stretch ^ (shape * _B)) + _A)
+        yield lo + at, hi + at, a + at, rank, _mixed((stretch ^ (shape * _B)) + _A)
 
 
-# a mark has the end of its bytes in "core" and no stretch
-_ANCHOR = pa.schema(
-    [("core", pa.int64()), ("stretch", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int32()), ("shape", pa.int32())]
-)
-_ANCHOR_DDL = "core long, stretch long, doc long, tag int, lo int, shape int"
+# a mark has the end of its bytes in "core" and no stretch; "place" is the 21 bits of the tag, the 31 of the first string and the 12 of the shape
+_ANCHOR = pa.schema([("core", pa.int64()), ("stretch", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
+_ANCHOR_DDL = "core long, stretch long, doc long, place long"
 _FOUND = pa.schema(
     [
         ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int32()), ("end", pa.int32()),
         ("offset", pa.int32()), ("node", pa.int32()), ("bytes", pa.binary()), ("rank", pa.int64()),
     ]
 )
+_MARKS_DDL = "doc long, tag int, lo int, end int"
 _FOUND_DDL = "doc long, tag int, lo int, end int, offset int, node int, bytes binary, rank long"
 _PAIR = pa.schema(
     [
@@ -134,38 +157,43 @@ _PAIR_DDL = "doc long, tag int, lo int, end int, offset int, node int, bytes bin
 _LONGEST, _LONGEST_STEP = THRESHOLD + _LAST, _STRINGS // 2 + 1
 
 
-def _combined(gram: np.ndarray, stretch: np.ndarray, doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, shape: np.ndarray) -> pa.RecordBatch:
+def _placed(tag: np.ndarray, lo: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    return (tag.astype(np.int64) << 43) | (lo.astype(np.int64) << 12) | shape
+
+
+def _place(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tag, first string and shape."""
+    return place.view(np.uint64) >> np.uint64(43), (place >> 12) & 0x7FFFFFFF, place & 0xFFF
+
+
+def _combined(rank: np.ndarray, stretch: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Rows of a batch; one whose stretch a smaller document of the batch has becomes a mark."""
-    order = np.lexsort((doc, gram ^ (stretch * _A)))
-    g, s, d = gram[order], stretch[order], doc[order]
+    order = np.lexsort((doc, rank ^ (stretch * _A)))
+    r, s, d = rank[order], stretch[order], doc[order]
     new = np.ones(len(order), bool)
-    new[1:] = (g[1:] != g[:-1]) | (s[1:] != s[:-1])
+    new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1])
     later = np.zeros(len(order), bool)
     later[order] = d > d[new][np.cumsum(new) - 1]
     marks = np.nonzero(later)[0]
-    end = lo[marks] + (shape[marks] & 63) + THRESHOLD
-    # marks of a document that touch are one
+    tag, lo, shape = _place(place[marks])
+    end = lo + (shape & 63) + THRESHOLD
+    # marks of a document that touch are one; their ends are in the order of their beginnings
     if len(marks):
-        by = np.lexsort((lo[marks], tag[marks], doc[marks]))
-        marks, end = marks[by], end[by]
-        same = (doc[marks][1:] == doc[marks][:-1]) & (tag[marks][1:] == tag[marks][:-1]) & (lo[marks][1:] == end[:-1] - THRESHOLD + 1)
-        first = np.concatenate(([True], ~same))
+        by = np.lexsort((lo, tag, doc[marks]))
+        marks, tag, lo, end = marks[by], tag[by], lo[by], end[by]
+        same = (doc[marks][1:] == doc[marks][:-1]) & (tag[1:] == tag[:-1]) & (lo[1:] <= end[:-1])
         end = end[np.concatenate((~same, [True]))]
-        marks = marks[first]
+        marks = marks[np.concatenate(([True], ~same))]
     kept = np.nonzero(~later)[0]
     rows = np.concatenate((kept, marks))
-    core = np.concatenate((gram[kept].view(np.int64), end.astype(np.int64)))
+    core = np.concatenate((rank[kept].view(np.int64), end.astype(np.int64)))
     known = np.concatenate((np.zeros(len(kept), bool), np.ones(len(marks), bool)))
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(core), pa.array(stretch[rows].view(np.int64), mask=known), pa.array(doc[rows]),
-            pa.array(tag[rows].astype(np.int32)), pa.array(lo[rows].astype(np.int32)), pa.array(shape[rows].astype(np.int32)),
-        ],
-        schema=_ANCHOR,
-    )
+        [pa.array(core), pa.array(stretch[rows].view(np.int64), mask=known), pa.array(doc[rows]), pa.array(place[rows])], schema=_ANCHOR
+    )
 
 
-def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchored(share: int, shares: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     workers.in_use("suffix_doubling")
     held: list[tuple[np.ndarray, ...]] = []
     count = 0
@@ -178,9 +206,9 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
-        for lo, hi, a, gram, stretch in anchors(data, offsets[1:]):
+        for lo, hi, a, rank, stretch in anchors(data, offsets[1:], share, shares):
             row = np.searchsorted(offsets[1:], lo, "right")
-            held.append((gram, stretch, ids[row], tags[row], lo - offsets[row], (a - lo) * 64 + (hi - lo)))
+            held.append((rank, stretch, ids[row], _placed(tags[row], lo - offsets[row], (a - lo) * 64 + (hi - lo))))
             count += len(lo)
             if count >= _COMBINED:
                 yield _combined(*(np.concatenate(c) for c in zip(*held)))
@@ -228,9 +256,9 @@ class Groups:
     until that is known they are held, which only one document's rows can be.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, share: int = 0, shares: int = 1) -> None:
         task = TaskContext.get()
-        self.rank = (task.partitionId() if task else 0) << 40
+        self.rank = ((task.partitionId() if task else 0) * shares + share) << 40
         self.least = self.first_doc = None
         self.classes, self.differs = 0, False
         self.held: list[pa.RecordBatch] = []
@@ -273,28 +301,30 @@ def _marks(doc: pa.Array, tag: pa.Array, lo: pa.Array, end: pa.Array) -> pa.Reco
     return pa.RecordBatch.from_arrays([doc, tag, lo, end, *none], schema=_FOUND)
 
 
-def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_round(share: int, shares: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     workers.in_use("suffix_doubling")
-    groups, before = Groups(), None
+    groups, before = Groups(share, shares), None
     for batch in batches:
         known = batch.column(1).is_null()
         already = batch.filter(known)
         if len(already):
-            core, _, doc, tag, lo, _ = already.columns
-            yield _marks(doc, tag, lo, core.cast(pa.int32()))
+            tag, lo, _ = _place(_numbers(already.column(3)))
+            yield _marks(already.column(2), pa.array(tag.astype(np.int32)), pa.array(lo.astype(np.int32)), already.column(0).cast(pa.int32()))
         batch = batch.filter(pa.compute.invert(known))
         if not len(batch):
             continue
-        core, stretch, doc, tag, lo, shape = (_numbers(c) for c in batch.columns)
+        core, stretch, _, place = (_numbers(c) for c in batch.columns)
+        tag, lo, shape = _place(place)
         new_pair, new_stretch = np.ones(len(core), bool), np.ones(len(core), bool)
         new_pair[1:] = core[1:] != core[:-1]
         new_stretch[1:] = stretch[1:] != stretch[:-1]
         if before is not None:
             new_pair[0], new_stretch[0] = core[0] != before[0], stretch[0] != before[1]
         before = core[-1], stretch[-1]
-        end = (lo + (shape & 63) + THRESHOLD).astype(np.int32)
-        node = np.full(len(core), _LAST, np.int32)
-        columns = [*batch.columns[2:5], pa.array(end), pa.array((shape >> 6).astype(np.int32)), pa.array(node), pa.nulls(len(core), pa.binary())]
+        offset = shape >> 6
+        node = np.where(offset > _MIDDLE, (_MIDDLE + 1) * 64 + _LAST, _MIDDLE)
+        numbers = [tag, lo, lo + (shape & 63) + THRESHOLD, offset, node]
+        columns = [batch.column(2), *(pa.array(c.astype(np.int32)) for c in numbers), pa.nulls(len(core), pa.binary())]
         yield from groups.read(pa.RecordBatch.from_arrays(columns, names=_FOUND.names[:-1]), new_pair, new_stretch)
 
 
@@ -418,25 +448,52 @@ class RepeatedBytes:
             F.shiftrightunsigned(F.xxhash64(content), 43).cast("int").alias("tag"),
             content.cast("binary").alias("content"),
         )
-        sampled = self.rows.select("doc", "tag", "content").mapInArrow(_anchored, _ANCHOR_DDL)
-        ranked = sampled.repartition("core").sortWithinPartitions("core", "stretch", "doc")
-        found = [self._write(ranked.mapInArrow(_first_round, _FOUND_DDL), 0)]
+        texts = self.rows.select("doc", "tag", "content")
+        with shuffles_removed(self.spark):
+            found = []
+            for share in range(SHARES):
+                sampled = texts.mapInArrow(partial(_anchored, share, SHARES), _ANCHOR_DDL)
+                ranked = sampled.repartition("core").sortWithinPartitions("core", "stretch", "doc")
+                found.append(self._write(ranked.mapInArrow(partial(_first_round, share, SHARES), _FOUND_DDL), f"round-0-{share}"))
+            open_rows = self._read(_FOUND_DDL, *found).where("offset IS NOT NULL")
+            size = self.rows.agg(F.sum(F.octet_length("content"))).first()[0] or 1
+            parts = 1 + open_rows.count() * OPEN_BYTES // size
+            done = []
+            for part in range(parts):
+                done += self._later_rounds(open_rows.where(F.col("rank") % parts == part), f"-{part}")
+            done.append(self._marks_of(found, "marks"))
+        #: One row per removed stretch of bytes; stretches may overlap.
+        self.marks = self._read(_MARKS_DDL, *done)
+
+    def _later_rounds(self, left: DataFrame, part: str) -> list[str]:
+        """What is left after the first round, or a part of its ranks; gives the names of the marks made."""
         items = F.collect_list(F.struct("lo", "end", "offset", "rank", "node")).alias("items")
-        left = found[0].where("offset IS NOT NULL").groupBy("doc", "tag").agg(items)
-        pairs = self._texts(left).select("doc", "tag", "content", "items").mapInArrow(_cut_and_halved, _PAIR_DDL)
-        strings = _STRINGS
+        texts = self._texts(left.groupBy("doc", "tag").agg(items))
+        pairs = texts.select("doc", "tag", "content", "items").mapInArrow(_cut_and_halved, _PAIR_DDL)
+        strings, found, done = _MIDDLE + 1, None, []
         while strings > 1:
             strings = (strings + 1) // 2
             ranked = pairs.repartition("rank", "next").sortWithinPartitions("rank", "next", "offset", "bytes", "doc")
-            found.append(self._write(ranked.mapInArrow(_next_round, _FOUND_DDL), len(found)))
-            pairs = found[-1].where("offset IS NOT NULL").mapInArrow(_halved, _PAIR_DDL)
-        marks = self.spark.read.schema(_FOUND_DDL).parquet(*[f"{self.at}/round-{i}" for i in range(len(found))])
-        #: One row per removed stretch of bytes; stretches may overlap.
-        self.marks = marks.where("offset IS NULL").select("doc", "tag", "lo", "end")
-
-    def _write(self, rows: DataFrame, number: int) -> DataFrame:
-        rows.write.parquet(f"{self.at}/round-{number}")
-        return self.spark.read.schema(_FOUND_DDL).parquet(f"{self.at}/round-{number}")
+            fresh = self._write(ranked.mapInArrow(_next_round, _FOUND_DDL), f"round-{strings}{part}")
+            if found:
+                done.append(self._marks_of([found], f"marks-{len(done)}{part}"))
+            found = fresh
+            pairs = self._read(_FOUND_DDL, found).where("offset IS NOT NULL").mapInArrow(_halved, _PAIR_DDL)
+        return [*done, self._marks_of([found], f"marks-{len(done)}{part}")]
+
+    def _write(self, rows: DataFrame, name: str) -> str:
+        rows.write.parquet(f"{self.at}/{name}")
+        return name
+
+    def _read(self, ddl: str, *names: str) -> DataFrame:
+        return self.spark.read.schema(ddl).parquet(*[f"{self.at}/{name}" for name in names])
+
+    def _marks_of(self, found: list[str], name: str) -> str:
+        """The marks of a round whose open rows have been read; the round itself is deleted."""
+        self._write(self._read(_FOUND_DDL, *found).where("offset IS NULL").select("doc", "tag", "lo", "end"), name)
+        for made in found:
+            discard(self.spark, f"{self.at}/{made}")
+        return name
 
     def _touched(self, few: DataFrame):
         """A test on "doc" that holds for all rows of ``few``, and for few others."""
@@ -455,14 +512,16 @@ class RepeatedBytes:
 
     def report(self) -> DataFrame:
         """doc_id, n_bytes, n_removed, n_spans and the bytes that are left (``kept``) of every row."""
-        lists = self.marks.groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "end")).alias("marks"))
+        # both ends of a stretch in one number
+        span = F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
+        lists = self.marks.groupBy("doc", "tag").agg(F.collect_list(span).alias("marks"))
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 made, size = [], 0
                 for doc_id, text, marks in zip(*batch.columns):
                     text = text.as_py()
-                    spans = [(m["lo"], m["end"]) for m in marks.as_py() or ()]
+                    spans = [(m >> 32, m & 0xFFFFFFFF) for m in marks.as_py() or ()]
                     left, removed, n = without(text, spans)
                     made.append((doc_id.as_py(), len(text), removed, n, left))
                     size += len(left)
@@ -476,7 +535,8 @@ class RepeatedBytes:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), kept)], schema=kept)
 
         kept = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-        rows = self.rows.withColumn("touched", self._touched(lists))
+        with shuffles_removed(self.spark):
+            rows = self.rows.withColumn("touched", self._touched(lists))
         met = rows.where("touched").join(lists, ["doc", "tag"], "left").select("doc_id", "content", "marks")
         met = met.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
         none = F.lit(0).cast("long")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -118,3 +120,56 @@ def test_odd_rows(spark):
     rows = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in made), key=repr)
     assert rows == plain([(r[0], r[1]) for r in ROWS])
     assert suffix_doubling.RepeatedBytes(empty(spark)).report().count() == 0
+
+
+def ranks(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return {int(r) for piece in suffix_doubling.anchors(data, np.array([len(data)])) for r in piece[3]}
+
+
+def test_a_short_common_passage_gives_no_common_rank():
+    rng = random.Random(5)
+    for length in (16, 24, 32, 49, 50, 200):
+        alike = 0
+        for _ in range(200):
+            shared = "".join(rng.choices("abcdefgh", k=length))
+            one, two = ("".join(rng.choices(letters, k=80)) + shared + "".join(rng.choices(letters, k=80)) for letters in ("ijkl", "mnop"))
+            alike += bool(ranks(one) & ranks(two))
+        assert alike == 0 if length < 33 else alike == 200 if length >= 50 else alike
+
+
+def test_all_shares_have_each_half_once():
+    data = np.frombuffer("".join(random.Random(3).choices("abcde ", k=5000)).encode(), np.uint8)
+    rows = lambda *share: {tuple(int(x) for x in row) for piece in suffix_doubling.anchors(data, np.array([2000, 5000]), *share) for row in zip(*piece)}
+    shares = [rows(i, 3) for i in range(3)]
+    assert all(shares) and sum(map(len, shares)) == len(set().union(*shares)) and set().union(*shares) == rows()
+    strings = sorted(x for lo, hi, *_ in rows() for x in range(lo, hi + 1))
+    assert strings == [*range(1951), *range(2000, 4951)]
+
+
+def test_parts_of_all_rounds(spark, monkeypatch):
+    monkeypatch.setattr(suffix_doubling, "SHARES", 3)
+    monkeypatch.setattr(suffix_doubling, "OPEN_BYTES", 240)
+    made = []
+    later = suffix_doubling.RepeatedBytes._later_rounds
+    monkeypatch.setattr(suffix_doubling.RepeatedBytes, "_later_rounds", lambda self, left, part: made.append(part) or later(self, left, part))
+    docs = random_docs(4)
+    assert found(spark, docs) == plain(docs)
+    assert 1 < len(made) < 9
+
+
+def test_only_marks_stay_on_disk(spark):
+    def shuffles():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for name in manager.getAllFiles().mkString(" ").split() if "/shuffle_" in name}
+
+    table = spark.createDataFrame(random_docs(1), "doc_id long, text string")
+    before = shuffles()
+    made = suffix_doubling.RepeatedBytes(table)
+    late = time.time() + 20
+    while shuffles() - before and time.time() < late:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    folders = os.listdir(made.at.removeprefix("file:"))
+    assert folders and all(name.startswith("marks") for name in folders)
+    assert made.marks.count() > 0
