@@ -2,19 +2,19 @@
 
 A byte goes if a string of ``THRESHOLD`` bytes over it also starts in a document with a smaller id. A plain
 prefix doubling would sort every byte position of the corpus in every round. Here a position stands for
-all strings that choose it: of the 16-byte grams in a string of 50 bytes the one with the least hash is its
-anchor, and strings alike have the same anchor at the same place. On average 18 neighbouring strings
+all strings that choose it: of the 8-byte grams in a string of 50 bytes the one with the least hash is its
+anchor, and strings alike have the same anchor at the same place. On average 22 neighbouring strings
 choose one anchor and travel as one row.
 
 1. First round: the strings of an anchor are halved, those that begin nearer to it and those that begin farther away,
-   so that the strings of a half have 33 or 34 bytes in common. (A gram of 16 bytes alone is met by chance ever more often
-   as the corpus grows.) Spark sorts the halves by rank (a hash of these bytes) and by the whole stretch that their strings
+   so that the strings of a half have 29 or 30 bytes in common. (A gram of 8 or 16 bytes alone is met by chance ever more
+   often as the corpus grows.) Spark sorts the halves by rank (a hash of these bytes) and by the whole stretch that their strings
    cover. Rows of a stretch that a smaller document has as well are done: all their bytes go. A rank
    that no other stretch has is unique and drops out. Within a batch of documents this happens before anything is
    shuffled, so a passage that a third of all documents have is one row per batch. The round is made in ``SHARES`` parts
    by rank, one after the other, so that no more than a part of its rows is on disk at a time.
 2. What is left lies at the edges of repeated passages. There the strings are halved again, which
-   makes what they have in common grow from 33 bytes to 42, 46, 48, 49 and 50. Each round sorts rows by
+   makes what they have in common grow from 29 bytes to 40, 45, 48, 49 and 50. Each round sorts rows by
    a pair, the rank of the last round and the bytes at the new offset, gives new ranks, and drops rows that are
    unique or whose whole stretch is found in a smaller document. Past the threshold a row is one string. If the first
    round leaves more than a row per ``OPEN_BYTES`` bytes of text, these rounds are made in parts, too.
@@ -42,7 +42,7 @@ from reconlake.llm.filters import HashFilter
 from reconlake.session import discard, scratch_path, shuffles_removed
 
 THRESHOLD = 50
-GRAM = 16
+GRAM = 8
 #: Strings that may choose one anchor, and the last of their offsets before it.
 _STRINGS = THRESHOLD - GRAM + 1
 _LAST = _STRINGS - 1
@@ -74,15 +74,14 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _gram_hashes(part: np.ndarray, grams: int) -> np.ndarray:
-    """The hash of the 16 bytes from each place on."""
-    count = grams + 8
-    padded = np.concatenate((part, np.zeros(16, np.uint8)))
-    eight = np.empty(count, np.uint64)
-    for shift in range(8):
-        n = len(range(shift, count, 8))
-        eight[shift::8] = padded[shift : shift + 8 * n].view("<u8")
-    first = eight[:grams] * _A
-    return _mixed(((first ^ (first >> np.uint64(31))) + eight[8:]) * _B)
+    """The hash of the 8 bytes from each place on."""
+    hashes = np.ndarray((grams,), "<u8", np.ascontiguousarray(part), strides=(1,)) * _A
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= _B
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= _C
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
 
 
 def anchors(data: np.ndarray, ends: np.ndarray, share: int = 0, shares: int = 1) -> Iterator[tuple[np.ndarray, ...]]:
@@ -153,8 +152,8 @@ _PAIR = pa.schema(
     ]
 )
 _PAIR_DDL = "doc long, tag int, lo int, end int, offset int, node int, bytes binary, rank long, next binary"
-#: Bytes of the longest stretch, and of the longest step from one round to the next.
-_LONGEST, _LONGEST_STEP = THRESHOLD + _LAST, _STRINGS // 2 + 1
+#: Bytes of the longest stretch after the first round, and of the longest step from one round to the next.
+_LONGEST, _LONGEST_STEP = THRESHOLD + _MIDDLE, _MIDDLE // 2 + 1
 
 
 def _placed(tag: np.ndarray, lo: np.ndarray, shape: np.ndarray) -> np.ndarray:
@@ -168,12 +167,22 @@ def _place(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _combined(rank: np.ndarray, stretch: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Rows of a batch; one whose stretch a smaller document of the batch has becomes a mark."""
-    order = np.lexsort((doc, rank ^ (stretch * _A)))
-    r, s, d = rank[order], stretch[order], doc[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1])
-    later = np.zeros(len(order), bool)
-    later[order] = d > d[new][np.cumsum(new) - 1]
+    # rows that agree with another one in most bits of both hashes are few
+    key = rank ^ (stretch * _A)
+    bits = np.uint64((1 << max(1, len(key) - 1).bit_length()) - 1)
+    quick = np.sort((key & ~bits) | np.arange(len(key), dtype=np.uint64))
+    alike = (quick[1:] ^ quick[:-1]) <= bits
+    near = np.zeros(len(key), bool)
+    near[1:] = alike
+    near[:-1] |= alike
+    some = (quick[near] & bits).astype(np.int64)
+    later = np.zeros(len(key), bool)
+    if len(some):
+        order = some[np.lexsort((doc[some], key[some]))]
+        r, s, d = rank[order], stretch[order], doc[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1])
+        later[order] = d > d[new][np.cumsum(new) - 1]
     marks = np.nonzero(later)[0]
     tag, lo, shape = _place(place[marks])
     end = lo + (shape & 63) + THRESHOLD
